@@ -27,6 +27,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import main_texts
+
+    return main_texts(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -34,6 +40,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import held_out, score_column, train
+
+    docs = _table(spark, sf_dir, "documents")
+    field = train(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out().alias("held_out"), score_column(field).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_token_files, write_token_files
 
@@ -59,12 +74,42 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocabulary_path(), end_id=0, seq_len=2048)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_archives, write_archives
+
+    return read_archives(write_archives(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every vector whose id is divisible by 20, against all vectors."""
+    from .shared import staged
+    from .topk import sign_codes, top_k
+
+    codes = staged(sign_codes(_table(spark, sf_dir, "embeddings")), "codes")
+    return top_k(codes, codes.filter("id % 20 = 0"), k=10).select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+#: verdict, host, path
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls
+
+    return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_html_text": op2_html_text,
     "op3_simhash": op3_simhash,
+    "op4_quality": op4_quality,
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op8_warc": op8_warc,
+    "op9_topk": op9_topk,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES: dict[str, str] = {
@@ -73,4 +118,31 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op9_topk": """
+        WITH codes AS (
+            SELECT vec_id, list_transform(embedding[1:64], lambda x: x > 0) AS bits FROM embeddings WHERE len(embedding) > 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(len(list_filter(list_zip(q.bits, c.bits), lambda z: z[1] <> z[2])) AS INTEGER) AS distance
+            FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, distance FROM ranked WHERE rank <= 10
+    """,
+    "op10_url_filter": r"""
+        WITH parts AS (
+            SELECT page_id,
+                translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages
+        ), judged AS (
+            SELECT *, CASE
+                WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/'
+            END AS rule FROM parts
+        )
+        SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM judged
+    """,
 }
