@@ -33,7 +33,7 @@ class TextEncoder:
     token and pieces with rare letters go to the library whole.
     """
 
-    def __init__(self, path: str, most_kept: int = 500_000):
+    def __init__(self, path: str, most_kept: int = 900_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
