@@ -2,64 +2,45 @@
 
 from __future__ import annotations
 
-import csv
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from .text import let, strip
 
+from .text import REST, let, strip
 
-def _cells(record: str, delimiter: str, quote: str) -> list[str]:
-    try:
-        return next(csv.reader([record], delimiter=delimiter, quotechar=quote))
-    except (csv.Error, StopIteration):
-        return record.split(delimiter)
 
-
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def quoted_cells(records: pd.Series, delimiter: pd.Series, quote: pd.Series) -> pd.Series:
-    return pd.Series([None if r is None else [_cells(x, d, q) for x in r] for r, d, q in zip(records, delimiter, quote)], dtype=object)
+def plain_cells(record: Column, delimiter: Column) -> Column:
+    return F.split(record, F.concat(F.lit("\\Q"), delimiter, F.lit("\\E")), -1)
 
 
-# Kept in projections of their own: the optimizer would otherwise move them into lambdas, where Python cannot run.
-quoted_cells = quoted_cells.asNondeterministic()
+def quoted_cells(record: Column, delimiter: Column, quote: Column) -> Column:
+    """array<string>: cells of a record that may quote. A quote counts at a cell's start; doubled inside it is one; what
+    follows the closing quote is taken as it is; an open quote takes the rest of the record."""
+    d, q = F.concat(F.lit("\\Q"), delimiter, F.lit("\\E")), quote
+    inner = F.concat(F.lit("[^"), q, F.lit("]*+(?:"), q, q, F.lit("[^"), q, F.lit("]*+)*+"))
+    cell = F.concat(d, F.lit("("), q, inner, F.lit("(?:"), q, F.lit("[^"), d, F.lit("]*|\\z)|[^"), d, F.lit("]*)"))
+    parts = F.concat(F.lit("(?s)^"), q, F.lit("("), inner, F.lit(")"), q, F.lit("?(.*)$"))
+    plain = lambda c: F.concat(F.replace(F.regexp_replace(c, parts, F.lit("$1")), F.concat(q, q), q), F.regexp_replace(c, parts, F.lit("$2")))
+    return F.transform(F.regexp_extract_all(F.concat(delimiter, record), cell, F.lit(1)), lambda c: F.when(F.startswith(c, q), plain(c)).otherwise(c))
 
 
-def plain_cells(record: Column, delimiter: Column) -> Column:
-    return F.split(record, F.concat(F.lit("\\Q"), delimiter, F.lit("\\E")), -1)
+def record_cells(record: Column, delimiter: Column, quote: Column) -> Column:
+    return F.when(F.contains(record, quote), quoted_cells(record, delimiter, quote)).otherwise(plain_cells(record, delimiter))
 
 
 def split_cells(records: Column, delimiter: Column, quote: Column) -> Column:
-    """array<array<string>>: cells of each record. A quote counts at a cell's start, doubled inside it is one.
-
-    Only arrays that hold the quote somewhere leave the JVM.
-    """
-    quote = F.coalesce(quote, F.lit('"'))
-    any_quote = let(quote, lambda q: F.exists(records, lambda r: F.contains(r, q)))
-    return F.when(any_quote, quoted_cells(F.when(any_quote, records), delimiter, quote)).otherwise(F.transform(records, lambda r: plain_cells(r, delimiter)))
+    """array<array<string>>: cells of each record, quotes honoured."""
+    return let(F.coalesce(quote, F.lit('"')), lambda q: F.transform(records, lambda r: record_cells(r, delimiter, q)))
 
 
-@F.pandas_udf(T.StructType([T.StructField("quote", T.StringType()), T.StructField("rows", T.IntegerType())]))
-def quote_vote(records: pd.Series, delimiter: pd.Series) -> pd.DataFrame:
-    """The quote that changes most of the records' cells, and of how many; null where none does."""
-    out = []
-    for rows, d in zip(records, delimiter):
-        best, most = None, 0
-        for quote in ('"', "'"):
-            n = 0
-            for r in () if rows is None else rows:
-                if quote in r:
-                    n += [x.strip() for x in _cells(r, d, quote)] != [x.strip() for x in r.split(d)]
-            if n > most:
-                best, most = quote, n
-        out.append((best, most))
-    return pd.DataFrame(out, columns=["quote", "rows"])
+def quote_vote(records: Column, delimiter: Column) -> Column:
+    """struct<quote, rows>: the quote that changes most of the records' cells, and of how many; null where none does."""
 
+    def changed(quote: str) -> Column:
+        differs = lambda r: F.transform(quoted_cells(r, delimiter, F.lit(quote)), strip) != F.transform(plain_cells(r, delimiter), strip)
+        return F.size(F.filter(records, lambda r: F.contains(r, F.lit(quote)) & differs(r)))
 
-quote_vote = quote_vote.asNondeterministic()
+    one = lambda rows, quote: F.struct(rows.alias("rows"), F.lit(quote).alias("quote"))
+    return let(changed('"'), lambda a: let(changed("'"), lambda b: F.when(b > a, one(b, "'")).when(a > 0, one(a, '"')).otherwise(one(F.lit(0), None))))
 
 
 def parse_cells(cells: Column, width: Column, null_tokens: Column) -> Column:
@@ -71,7 +52,7 @@ def parse_cells(cells: Column, width: Column, null_tokens: Column) -> Column:
 
 def name_cells(values: Column, names: Column) -> Column:
     """map<string,string>: position i takes name i; positions beyond the names are ``column_<i>``."""
-    surplus = F.transform(F.slice(values, F.size(names) + 1, 2147483647), lambda _, i: F.concat(F.lit("column_"), (i + F.size(names)).cast("string")))
+    surplus = F.transform(F.slice(values, F.size(names) + 1, REST), lambda _, i: F.concat(F.lit("column_"), (i + F.size(names)).cast("string")))
     surplus = F.transform(surplus, lambda n: F.when(F.array_contains(names, n), F.concat(n, F.lit("_x"))).otherwise(n))
     return F.map_from_arrays(F.concat(F.slice(names, 1, F.size(values)), surplus), values)
 

@@ -16,6 +16,8 @@ ZERO_WIDTH = "﻿​‌‍⁠"
 DELIMITERS = [(",", "comma", "csv"), ("|", "pipe", "pipe"), ("\t", "tab", "tab"), (";", "semicolon", "semicolon")]
 #: A workbook whose rows are marked beyond this share isn't one.
 MOST_MARKED = 0.9
+#: A slice's length that means all the rest; the largest integer would overflow when the start is added.
+REST = 1_000_000_000
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:

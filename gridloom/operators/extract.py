@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.cells import name_cells, parse_cells, plain_cells, quoted_cells
+from gridloom.functions.cells import name_cells, parse_cells, record_cells
 from gridloom.functions.text import once
 
 ROW_SCHEMA = "guid string, sheet_index int, sheet_name string, row_number long, valid boolean, errors array<string>, extra_values long, columns array<string>, data map<string,string>"
@@ -17,16 +17,13 @@ ROW_SCHEMA = "guid string, sheet_index int, sheet_name string, row_number long,
 def data_cells(profiles: DataFrame) -> DataFrame:
     """One row for each data record: guid, sheet_index, sheet_name, line, cells and the layout's columns.
 
-    Records down to the header and the footer's are left out; all are where the footer is as long as the data.
-    Records without the quote are split in the JVM.
-    """
+    Records down to the header and the footer's are left out; all are where the footer is as long as the data.    """
     header, footer, n = F.col("header_row_index"), F.col("footer_start_from_bottom"), F.size("records")
     data = F.slice("records", header + 2, F.greatest(n - header - 1 - footer, F.lit(0)))
     rows = profiles.filter(F.col("rejection_code").isNull()).select(
         "guid", "sheet_index", "sheet_name", "delimiter", F.coalesce("quote_char", F.lit('"')).alias("quote"), "header_names", "modal_field_count", "null_values", header.alias("_h"), F.posexplode(data).alias("_at", "record")
     )
-    quoted = F.contains("record", F.col("quote"))
-    cells = F.when(quoted, F.get(quoted_cells(F.when(quoted, F.array("record")), "delimiter", "quote"), F.lit(0))).otherwise(plain_cells(F.col("record"), F.col("delimiter")))
+    cells = record_cells(F.col("record"), F.col("delimiter"), F.col("quote"))
     return rows.withColumn("line", F.col("_at") + F.col("_h") + 1).withColumn("cells", once(cells)).drop("_h", "_at", "record")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.cells import quote_vote, split_cells, unique_names
-from gridloom.functions.text import DELIMITERS, delimiter_char, header_score, let, looks_like_header, once, strip, value_shape
+from gridloom.functions.text import DELIMITERS, REST, delimiter_char, header_score, let, looks_like_header, once, strip, value_shape
 
 from .sheets import head_tail
 
@@ -88,9 +88,8 @@ def detect_delimiter(sheets: DataFrame, records: str = "records") -> DataFrame:
 def detect_quote(sheets: DataFrame, records: str = "records") -> DataFrame:
     """``sheets`` (with delimiter) with quote_char and quoted_field_rows, judged on the first 20 records."""
     first = F.slice(records, 1, 20)
-    quoted = F.exists(first, lambda r: F.contains(r, F.lit('"')) | F.contains(r, F.lit("'"))) & F.col("delimiter").isNotNull()
-    vote = quote_vote(F.when(quoted, first), F.coalesce("delimiter", F.lit(",")))
-    return sheets.withColumn("_q", vote).select("*", F.col("_q.quote").alias("quote_char"), F.col("_q.rows").alias("quoted_field_rows")).drop("_q")
+    vote = F.when(F.col("delimiter").isNotNull(), quote_vote(first, F.coalesce("delimiter", F.lit(","))))
+    return sheets.withColumn("_q", once(vote)).select("*", F.col("_q.quote").alias("quote_char"), F.coalesce("_q.rows", F.lit(0)).alias("quoted_field_rows")).drop("_q")
 
 
 def _matching_columns(shapes: Column, i: Column) -> Column:
@@ -179,7 +178,7 @@ def profile_sheets(sheets: DataFrame, head: int = 40, tail: int = 20) -> DataFra
     delimiter = F.coalesce("delimiter", F.lit(","))
     cells = F.transform(split_cells(F.col("records"), delimiter, F.col("quote_char")), lambda r: F.transform(r, lambda c: strip(c)))
     found = locate_header(found.withColumn("cells", once(cells)))
-    found = found.withColumn("data", once(F.slice("cells", F.col("header_row_index") + 2, 2147483647))).withColumn("data_widths", once(F.transform("data", lambda r: F.size(r))))
+    found = found.withColumn("data", once(F.slice("cells", F.col("header_row_index") + 2, REST))).withColumn("data_widths", once(F.transform("data", lambda r: F.size(r))))
     found = reject_shape(found).withColumn("header_names", once(unique_names(F.col("header"))))
     return found.select(
         "guid", "sheet_index", "sheet_name", F.col("_all").alias("records"), "delimiter", "delimiter_name", F.round("delimiter_confidence", 3).alias("delimiter_confidence"), "quote_char", "quoted_field_rows",
@@ -200,13 +199,13 @@ def with_spec(profiles: DataFrame, specs: DataFrame) -> DataFrame:
     spec, given = F.col("spec"), F.col("spec").isNotNull()
     delimiter = F.when(given, delimiter_char(spec["format_spec"]["delimiter_type"])).otherwise(F.col("delimiter"))
     quote = F.when(given, spec["format_spec"]["quote_char"]).otherwise(F.col("quote_char"))
-    met = met.withColumn("delimiter", delimiter).withColumn("quote_char", quote)
+    met = met.withColumn("delimiter", once(delimiter)).withColumn("quote_char", once(quote))
     index = F.when(given, F.when(spec["head_bounds"]["has_header"], spec["head_bounds"]["header_line_index"]).otherwise(-1)).otherwise(F.col("header_row_index"))
-    met = met.withColumn("header_row_index", index)
+    met = met.withColumn("header_row_index", once(index))
     line = F.get(split_cells(F.slice("records", F.greatest(F.col("header_row_index"), F.lit(0)) + 1, 1), F.coalesce("delimiter", F.lit(",")), F.col("quote_char")), F.lit(0))
     names = F.when(given & (F.col("header_row_index") >= 0), unique_names(line)).when(given, unique_names(spec["head_bounds"]["inferred_columns"])).otherwise(F.col("header_names"))
     return (
-        met.withColumn("header_names", names)
+        met.withColumn("header_names", once(names))
         .withColumn("header_source", F.when(given, F.when(F.col("header_row_index") >= 0, "row").otherwise("spec")).otherwise(F.col("header_source")))
         .withColumn("footer_start_from_bottom", F.coalesce(F.when(spec["tail_bounds"]["has_footer"], spec["tail_bounds"]["footer_start_from_bottom"]), F.col("footer_start_from_bottom")))
         .withColumn("null_values", F.coalesce(spec["format_spec"]["null_values"], F.col("null_values")))
