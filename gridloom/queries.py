@@ -524,3 +524,143 @@ def samples_of_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def column_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select(F.concat(F.col("conv_id").cast("string"), F.lit(" "), F.upper("role")).alias("column_name"))
     return c.withColumn("column_key", text.column_key(F.col("column_name")))
+
+
+# ---- further operators ---------------------------------------------------------------------------------------------------
+
+
+@query("SELECT n_name AS guid, c_mktsegment AS sheet_name, 'csv' AS format_hint, 0 AS header_guess, CAST(least(count(*) + 1, 60) AS INTEGER) AS sampled FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
+def inspected_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.inspect(workbooks(spark, sf_dir)).select("guid", "sheet_name", "format_hint", "header_guess", "sampled")
+
+
+@query()
+def sheet_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precise personal-data signals of every sheet of the documents; tests hold the checks against plain Python."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("guid"), F.col("text").alias("body_text"))
+    return jobs.sheet_pii(docs)
+
+
+@query()
+def corpus_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus run: backlog without verdicts, both gates, extraction, an outcome for each document of the backlog."""
+    docs = table(spark, sf_dir, "documents")
+    source = status_table(spark, sf_dir).join(docs.select(F.col("doc_id").cast("string").alias("guid"), F.col("text").alias("body_text")), "guid")
+    return jobs.corpus_run(source, verdict_table(spark, sf_dir), source.select("guid", "document_type"), target=100)[2]
+
+
+@query(STATUS + "SELECT v.guid, v.status AS status FROM verdicts v")
+def first_writer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert-only merge of the verdicts into themselves plus later ones: the first stays."""
+    v = verdict_table(spark, sf_dir).select(F.col("guid").alias("schema_hash"), F.lit(1).alias("created_at"), "status")
+    half = v.filter(F.crc32(F.col("schema_hash").cast("binary")) % 2 == 0)
+    later = v.withColumns({"created_at": F.lit(2), "status": F.lit("late")}).filter("schema_hash = '-1'").unionByName(v)
+    return status.merge_first(half, later).select(F.col("schema_hash").alias("guid"), "status")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS guid, count(*) AS n FROM events e WHERE ts = (SELECT max(ts) FROM events f WHERE f.user_id = e.user_id) GROUP BY 1")
+def newest_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("guid"), F.col("ts").alias("extracted_at"), "event_id")
+    return status.latest_extraction(e).groupBy("guid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) AS bins, count(*) FILTER (WHERE done) AS bins_done, CAST(sum(n) AS BIGINT) AS guids, CAST(coalesce(sum(n) FILTER (WHERE done), 0) AS BIGINT) AS guids_done FROM (SELECT user_id, count(*) AS n, bool_and(value > 2) AS done FROM events GROUP BY user_id)")
+def batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batching.bin_progress(table(spark, sf_dir, "events").select(F.col("user_id").alias("batch"), (F.col("value") > 2).alias("done")))
+
+
+@query("SELECT event_type AS source, count(*) AS runs, CAST(count(*) AS BIGINT) AS rows, round(sum(value), 2) AS seconds FROM events GROUP BY 1")
+def source_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.lit(1).alias("rows"), F.col("value").alias("total_seconds"), "ts")
+    return batching.source_metrics(runs).select("source", "runs", "rows", F.round("seconds", 2).alias("seconds"))
+
+
+SHAPE_TABLE = "SELECT CAST(c_custkey AS VARCHAR) AS schema_hash, c_custkey % 50 AS hit_count, c_nationkey AS created_at FROM customer"
+
+
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("schema_hash"), (F.col("c_custkey") % 50).alias("hit_count"), F.col("c_nationkey").alias("created_at"))
+
+
+@query(f"WITH s AS ({SHAPE_TABLE}) SELECT schema_hash, hit_count FROM s WHERE schema_hash NOT IN (SELECT schema_hash FROM s ORDER BY hit_count, created_at, schema_hash LIMIT (SELECT count(*) // 10 FROM s))")
+def shapes_after_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batching.evict_shapes(_shapes(spark, sf_dir), 100).select("schema_hash", "hit_count")
+
+
+@query(f"SELECT count(*) AS shapes, CAST(sum(hit_count) AS BIGINT) AS hits, round(avg(hit_count), 3) AS mean_hits, max(hit_count) AS most_hits FROM ({SHAPE_TABLE})")
+def shape_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batching.shape_stats(_shapes(spark, sf_dir))
+
+
+@query("SELECT count(*) AS labelled, count(*) FILTER (WHERE toxic = 1) AS with_pii FROM labels")
+def label_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batching.label_stats(table(spark, sf_dir, "labels").select(F.when(F.col("toxic") == 1, "PERSON_EMAIL").otherwise("NONE").alias("label")))
+
+
+@query("SELECT CAST(conv_id AS VARCHAR) AS guid, 0 AS sheet_index, arg_max(CASE role WHEN 'user' THEN 'look' WHEN 'assistant' THEN 'eval' ELSE role END, turn) AS stage_failed FROM conversations GROUP BY 1")
+def last_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    stage = F.when(F.col("role") == "user", "structural_inspector").when(F.col("role") == "assistant", "evaluate_extraction").otherwise(F.col("role"))
+    return evaluate.stage_failed(c.select(F.col("conv_id").cast("string").alias("guid"), F.lit(0).alias("sheet_index"), F.col("turn").alias("seq"), stage.alias("stage")))
+
+
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS guid, 'PERSON_FULL_NAME' AS field, 'name,full_name' AS column_names FROM customer GROUP BY 1")
+def contested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("guid")).distinct()
+    columns = rows.select("guid", F.lit(0).alias("sheet_index"), F.posexplode(F.array(F.lit("name"), F.lit("full_name"), F.lit("email"))).alias("position", "column_name"))
+    mapping = schema_map.label_columns(columns, spark.createDataFrame([], NO_LABELS))
+    return schema_map.duplicate_targets(mapping).select("guid", "field", F.array_join("column_names", ",").alias("column_names"))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS guid, CASE WHEN c_custkey % 3 = 0 THEN 5 ELSE 2 END AS header_score FROM customer WHERE c_custkey % 3 < 2 AND c_custkey % 7 <> 0 ORDER BY 2 DESC, length(c_name) + c_custkey % 11 DESC, 1 LIMIT 50")
+def header_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by how many kinds of personal data their first line names; the limit is the operator."""
+    c = table(spark, sf_dir, "customer")
+    line = F.when(F.col("c_custkey") % 3 == 0, "Account,Card,Address,Phone,E-mail").when(F.col("c_custkey") % 3 == 1, "account,card").otherwise("item")
+    docs = c.select(F.col("c_custkey").cast("string").alias("guid"), F.concat(line, F.lit("\n"), "c_name").alias("body_text"), (F.length("c_name") + F.col("c_custkey") % 11).alias("body_length"), (F.col("c_custkey") % 7 == 0).alias("is_duplicate"))
+    return readers.rank_by_header(docs, min_score=2, n=50).select("guid", "header_score")
+
+
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS guid, CAST(c_custkey AS BIGINT) AS row_number, c_name AS name FROM customer")
+def rewritten_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice to one place and read back: a re-run replaces and never doubles."""
+    path = f"{_shared(spark)}/extractions"
+    rows = long_rows(spark, sf_dir)
+    sinks.write_extractions(rows, path, buckets=8)
+    sinks.write_extractions(rows.filter(F.col("guid") < "2"), path, buckets=8)
+    return sinks.read_extraction(spark, path).select("guid", "row_number", F.try_element_at("data", F.lit("name")).alias("name"))
+
+
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS guid, count(*) AS n FROM customer GROUP BY 1")
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_shared(spark)}/json"
+    sinks.write_ndjson(long_rows(spark, sf_dir), path, "customers", "r1", F.lit("2024-01-01").cast("timestamp"))
+    return spark.read.schema("guid string, row_number long, source string, dt string, run string").json(path).groupBy("guid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_mktsegment AS guid, n_name AS sheet_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
+def drained_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks drained by a stream give the rows of a batch run."""
+    from gridloom.streaming import drain
+
+    home = _shared(spark)
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    books = jobs.flatten_table(c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]), F.col("c_mktsegment"), F.col("n_name"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
+    books.select("guid", "body_text").write.parquet(f"{home}/in")
+
+    def work(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        done = jobs.extract(docs)
+        return done.rows, done.documents.select("guid", F.col("outcome").alias("status"))
+
+    stream = drain.document_stream(spark, f"{home}/in", "guid string, body_text string", files=4)
+    drain.drain(stream, work, f"{home}/out", f"{home}/verdicts", f"{home}/progress", buckets=8).awaitTermination()
+    return sinks.read_extraction(spark, f"{home}/out").groupBy("guid", "sheet_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _shared(spark: SparkSession) -> str:
+    """A new folder in what the cluster shares; where no such setting is, a temporary one."""
+    import tempfile
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-")
+    return f"{root.rstrip('/')}/gridloom/out-{uuid.uuid4().hex}"
