@@ -112,7 +112,8 @@ def linked_components(distinct: DataFrame, distance: int = 4) -> DataFrame:
     bucket = keyed.select(F.col("wild").alias("wild_b"), F.col("part").alias("part_b"), F.col("fp").alias("fp_b"), F.col("c").alias("c_b"))
     diff = F.col("fp_a").bitwiseXOR(F.col("fp_b"))
     same = (F.col("wild") == F.col("wild_b")) & (F.col("part") == F.col("part_b"))
-    pairs = probes.join(bucket, same & (F.col("c_a") != F.col("c_b")) & (F.bit_count(diff) <= distance) & (first_wild(diff, distance) == F.col("wild")))
+    # Merge hints: the optimizer takes exploded signatures for as small as their source and would broadcast them.
+    pairs = probes.hint("merge").join(bucket.hint("merge"), same & (F.col("c_a") != F.col("c_b")) & (F.bit_count(diff) <= distance) & (first_wild(diff, distance) == F.col("wild")))
     between = staged(pairs.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct(), "further_links")
     second = connected_components(between).select(F.col("node").alias("c"), F.col("component").alias("final"))
     return known.join(second, "c", "left").select("fp", F.coalesce("final", "c").alias("component"))
