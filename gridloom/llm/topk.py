@@ -22,6 +22,8 @@ from pyspark.sql.window import Window
 from .shared import join_groups, staged
 
 BITS = 64
+#: Bits of the widest segment; a wider one would have more values than an index has codes to tell apart.
+MOST_WIDE = 22
 
 
 def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -32,8 +34,8 @@ def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
 
 def cut(codes: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of segments about as wide as the binary logarithm of the number of codes, 22 bits at most."""
-    n = max(3, round(BITS / max(1.0, math.log2(max(2, codes)))))
+    """(first bit, bits) of segments about as wide as the binary logarithm of the number of codes, ``MOST_WIDE`` bits at most."""
+    n = max(-(-BITS // MOST_WIDE), round(BITS / max(1.0, math.log2(max(2, codes)))))
     edges = [round(i * BITS / n) for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
@@ -47,7 +49,9 @@ def nearest_codes(queries: DataFrame, codes: DataFrame, k: int) -> DataFrame:
     ties by ``first_id``."""
     total = codes.count()
     segments = cut(total)
-    index = staged(codes.select(F.posexplode(F.array(*[_part("code", s) for s in segments])).alias("segment", "value"), "code", "first_id"), "segment_index")
+    # A key is a segment's number above the bits that a segment can have.
+    key = lambda j, part: F.lit(j << MOST_WIDE).cast("long").bitwiseOR(part)
+    index = staged(codes.select(F.explode(F.array(*[key(j, _part("code", s)) for j, s in enumerate(segments)])).alias("key"), "code", "first_id"), "segment_index")
     best = Window.partitionBy("query").orderBy("distance", "first_id")
     active = staged(queries.select(F.col("code").alias("query"), F.lit(BITS).alias("bound")), "queries")
     state, done = None, []
@@ -55,7 +59,7 @@ def nearest_codes(queries: DataFrame, codes: DataFrame, k: int) -> DataFrame:
         if active.isEmpty():
             break
         probes = [
-            active.select("query", "bound", F.lit(j).alias("segment"), F.explode(F.array(*_flips(s[1], radius))).alias("flip"), _part("query", s).alias("own")).select("query", "bound", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
+            active.select("query", "bound", F.explode(F.array(*_flips(s[1], radius))).alias("flip"), key(j, _part("query", s)).alias("own")).select("query", "bound", F.col("own").bitwiseXOR(F.col("flip")).alias("probe"))
             for j, s in enumerate(segments)
             if s[1] >= radius
         ]
@@ -66,7 +70,10 @@ def nearest_codes(queries: DataFrame, codes: DataFrame, k: int) -> DataFrame:
         apart = [F.bit_count(F.shiftrightunsigned(diff, a).bitwiseAND(F.lit((1 << w) - 1))) for a, w in segments]
         met_now = (F.least(*apart) if len(apart) > 1 else apart[0]) == radius  # not in an earlier round
         first = F.coalesce(*[F.when(x == radius, F.lit(j)) for j, x in enumerate(apart)])  # nor by an earlier segment
-        found = probe.alias("p").join(index.alias("i"), (F.col("p.segment") == F.col("i.segment")) & (F.col("p.value") == F.col("i.value")) & met_now & (first == F.col("p.segment")) & (F.bit_count(diff) <= F.col("bound")))
+        # Merge hints: the optimizer takes exploded probes for as small as their source and would broadcast them.
+        segment = F.shiftright("key", MOST_WIDE)
+        wanted = met_now & (first == segment) & (F.bit_count(diff) <= F.col("bound"))
+        found = probe.hint("merge").join(index.hint("merge"), (F.col("probe") == F.col("key")) & wanted)
         found = found.select("query", "code", "first_id", F.bit_count(diff).cast("int").alias("distance"))
         if state is not None:
             found = found.unionByName(state.join(active.select("query"), "query", "left_semi"))
