@@ -34,8 +34,9 @@ def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
 
 def cut(codes: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of segments about as wide as the binary logarithm of the number of codes, ``MOST_WIDE`` bits at most."""
-    n = max(-(-BITS // MOST_WIDE), round(BITS / max(1.0, math.log2(max(2, codes)))))
+    """(first bit, bits) of the fewest segments that are no wider than the binary logarithm of the number of codes, nor
+    than ``MOST_WIDE`` bits. Wider ones would be probed mostly at values that no code has."""
+    n = max(-(-BITS // MOST_WIDE), math.ceil(BITS / max(3.0, math.log2(max(2, codes)))))
     edges = [round(i * BITS / n) for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
