@@ -13,7 +13,7 @@ the library gives; null ids decode to empty text; other columns are not read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,23 @@ from tokenizers import Tokenizer
 from .tokens import SETTLED, SPLITS, byte_letters
 
 _loaded: dict[str, Vocabulary] = {}
+_tables: dict[str, dict[int, bytes]] = {}
+
+
+def as_bytes() -> Callable[[str], bytes]:
+    """What a byte-level vocabulary's word stands for."""
+    byte_of = {c: b for b, c in byte_letters().items()}
+    return lambda word: bytes(map(byte_of.__getitem__, word))
+
+
+def token_table(path: str) -> dict[int, bytes]:
+    """The bytes of every token, added ones included, loaded once in each Python worker; all that decoding needs."""
+    if path not in _tables:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        raw = as_bytes()
+        _tables[path] = {i: raw(w) for w, i in spec["model"]["vocab"].items()} | {x["id"]: x["content"].encode() for x in spec.get("added_tokens", [])}
+    return _tables[path]
 
 
 class Vocabulary:
@@ -36,8 +53,7 @@ class Vocabulary:
         model, before = spec["model"], spec.get("pre_tokenizer") or {}
         if model.get("type") != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space", True) or not before.get("use_regex", True) or spec.get("normalizer") or model.get("ignore_merges"):
             raise ValueError("a plain byte-level BPE vocabulary is needed")
-        as_byte = {c: b for b, c in byte_letters().items()}
-        raw = lambda word: bytes(as_byte[c] for c in word)
+        raw = as_bytes()
         self.token_bytes: dict[int, bytes] = {i: raw(w) for w, i in model["vocab"].items()}
         self.id_of = {b: i for i, b in self.token_bytes.items()}
         self.prefixes = {b[:n] for b in self.id_of for n in range(1, len(b) + 1)}
@@ -193,7 +209,7 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def _blocks(texts: pa.Array, most: int = 4_000_000) -> Iterator[list[str | None]]:
+def _blocks(texts: pa.Array, most: int = 3_000_000) -> Iterator[list[str | None]]:
     block: list[str | None] = []
     size = 0
     for x in texts:
@@ -227,10 +243,9 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``; broken UTF-8 becomes U+FFFD."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(tokenizer_path)
-        table = words.token_bytes
+        table = token_table(tokenizer_path)
         for batch in batches:
-            step = 500
+            step = 200
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 texts = [b"".join([table[i] for i in x or ()]).decode("utf-8", "replace") for x in part["ids"].to_pylist()]
