@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Shares that a sheet must reach, and how often a sheet may be tried.
 MIN_SHARE, MOST_TRIES = 0.9, 2
@@ -23,19 +24,16 @@ def evaluate(rows: DataFrame, counts: DataFrame, profiles: DataFrame) -> DataFra
     enough of them valid, enough columns delivered, enough of the source covered.
     """
     keys = ["guid", "sheet_index"]
-    got = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("records_returned"),
-        F.count_if("valid").alias("records_valid"),
-    )
-    # The widest of the first twenty rows stands for what was delivered; errors are the first five.
-    first = rows.groupBy(*keys).agg(F.min("row_number").alias("_first"))
-    near = rows.join(first, keys).filter(F.col("row_number") < F.col("_first") + 200).select(*keys, "row_number", F.size("columns").alias("n"), "valid", "errors")
-    ranked = near.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list(F.struct("row_number", "n"))), 1, 20).alias("_head"))
-    faults = rows.filter(~F.col("valid") & (F.size("errors") > 0)).groupBy(*keys).agg(F.min(F.struct("row_number", "errors")).getField("errors").alias("sample_errors"))
-    out = profiles.select(*keys, "modal_field_count", F.size("header_names").alias("header_declares")).join(counts, keys, "left").join(got, keys, "left").join(ranked, keys, "left").join(faults, keys, "left")
+    fault = F.when(~F.col("valid") & (F.size("errors") > 0), F.struct("row_number", "errors"))
+    got = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("records_returned"), F.count_if("valid").alias("records_valid"), F.min(fault).getField("errors").alias("sample_errors"))
+    # The widest of the first twenty rows stands for what was delivered; ranks are pruned before the shuffle.
+    order = Window.partitionBy(*keys).orderBy("row_number")
+    head = rows.select(*keys, "row_number", F.size("columns").alias("n")).withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= 20)
+    widest = head.groupBy(*keys).agg(F.max("n").alias("widest"))
+    out = profiles.select(*keys, "modal_field_count", F.size("header_names").alias("header_declares")).join(counts, keys, "left").join(got, keys, "left").join(widest, keys, "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     n, source, wanted = zero("records_returned"), zero("source_rows"), zero("modal_field_count")
-    present = F.coalesce(F.array_max(F.transform("_head", lambda x: x["n"])), F.lit(0))
+    present = zero("widest")
     share = F.when(n > 0, zero("records_valid") / n).otherwise(0.0)
     coverage = F.when(source > 0, n / source).otherwise(0.0)
     errors = F.slice(F.coalesce("sample_errors", F.array().cast("array<string>")), 1, 5)

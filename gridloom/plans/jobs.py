@@ -60,9 +60,16 @@ class Extraction:
     documents: DataFrame
 
 
-def extract(docs: DataFrame, specs: DataFrame | None = None, parsers: Parsers | None = None) -> Extraction:
-    """Documents to rows, a verdict and ledger entry for each sheet, and an outcome for each document."""
+def extract(docs: DataFrame, specs: DataFrame | None = None, parsers: Parsers | None = None, keep: str | None = None) -> Extraction:
+    """Documents to rows, a verdict and ledger entry for each sheet, and an outcome for each document.
+
+    Rows and verdicts are lazy, and each of them reads the documents. With ``keep``, a new folder that the cluster
+    shares, split and profiled sheets are written there once and all results start from them.
+    """
     profiles = look(docs, specs)
+    if keep:
+        profiles.write.parquet(keep)
+        profiles = docs.sparkSession.read.parquet(keep)
     cells = data_cells(profiles)
     if parsers and parsers.by_shape:
         shaped = cells.join(profiles.select("guid", "sheet_index", "shape_hash"), ["guid", "sheet_index"])
@@ -87,13 +94,13 @@ def sheet_pii(docs: DataFrame) -> DataFrame:
     return sheets.select("guid", "sheet_index", pii_score(F.col("_flags")).alias("pii_score"), pii_signals(F.col("_flags")).alias("pii_signals"))
 
 
-def corpus_run(source: DataFrame, verdicts: DataFrame, labels: DataFrame, target: int = 500) -> tuple[DataFrame, Extraction, DataFrame]:
+def corpus_run(source: DataFrame, verdicts: DataFrame, labels: DataFrame, target: int = 500, keep: str | None = None) -> tuple[DataFrame, Extraction, DataFrame]:
     """(batches of the backlog, extraction of what passes both gates, outcomes of rejected documents too)."""
     todo = balanced_batches(backlog(source, verdicts, ["pending"]), "body_length", target)
     bodies = fetch_bodies(source, todo)
     passed, no_pii = gate_no_pii(bodies)
     passed, skipped = gate_document_type(passed, labels)
-    done = extract(passed)
+    done = extract(passed, keep=keep)
     rejected = no_pii.select("guid", "rejection_code").unionByName(skipped.select("guid", "rejection_code")).select("guid", F.lit("error_rejected").alias("outcome"), F.col("rejection_code").alias("reason"))
     return todo, done, done.documents.select("guid", "outcome", "reason").unionByName(rejected)
 

@@ -138,7 +138,7 @@ def sheet_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT n_name AS guid, 'complete' AS outcome, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS sheets, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS passed, 0 AS rejected FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
 def document_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.extract(workbooks(spark, sf_dir)).documents.select("guid", "outcome", "sheets", "passed", "rejected")
+    return jobs.extract(workbooks(spark, sf_dir), keep=f"{_shared(spark)}/profiles").documents.select("guid", "outcome", "sheets", "passed", "rejected")
 
 
 @query("""
@@ -546,7 +546,7 @@ def corpus_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A corpus run: backlog without verdicts, both gates, extraction, an outcome for each document of the backlog."""
     docs = table(spark, sf_dir, "documents")
     source = status_table(spark, sf_dir).join(docs.select(F.col("doc_id").cast("string").alias("guid"), F.col("text").alias("body_text")), "guid")
-    return jobs.corpus_run(source, verdict_table(spark, sf_dir), source.select("guid", "document_type"), target=100)[2]
+    return jobs.corpus_run(source, verdict_table(spark, sf_dir), source.select("guid", "document_type"), target=100, keep=f"{_shared(spark)}/profiles")[2]
 
 
 @query(STATUS + "SELECT v.guid, v.status AS status FROM verdicts v")
