@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -20,7 +21,7 @@ from gridloom.llm.exact_dedup import DigestIndex, deduplicate, first_of_group
 from gridloom.llm.packing import best_fit_decreasing, pack_documents, sequences
 from gridloom.llm.simhash import fingerprint, first_of_component, near_duplicates
 from gridloom.llm.token_files import FrameReader, read_token_files, write_token_files
-from gridloom.llm.tokens import TextEncoder
+from gridloom.llm.tokens import TextEncoder, byte_letters
 from gridloom.llm.topk import top_k
 from gridloom.llm.url_filter import GlobAutomaton, filter_urls
 from gridloom.llm.warc import read_archives, write_archives
@@ -65,7 +66,7 @@ def words32(ids):
 
 def test_exact_dedup(spark, odd, none):
     got = sorted(((r.doc_id, r.keep_id, r.group_size) for r in deduplicate(odd, DigestIndex(spark, buckets=4)).collect()), key=str)
-    norm = lambda t: " ".join(["" if not x else x for x in __import__("re").split(r"[\x20\x09-\x0D]+", t or "")])
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
     groups = defaultdict(list)
     for i, t, _ in ODD:
         groups[norm(t)].append(i)
@@ -132,7 +133,7 @@ def test_near_duplicates(spark, documents, odd, none):
     assert fingerprint(None) == fingerprint(" \n") == 0
 
 
-def test_no_link_is_lost(spark, monkeypatch):
+def test_no_link_is_lost(spark):
     """Random fingerprints in dense balls, at every distance."""
     from gridloom.llm import simhash
     from gridloom.llm.shared import staged
@@ -175,12 +176,12 @@ def test_encoder_is_the_library(library):
 
 
 def test_trie_on_random_bytes():
-    words = Vocabulary(VOCABULARY)
+    words, letters = Vocabulary(VOCABULARY), byte_letters()
     random.seed(1)
     t = Tokenizer.from_file(VOCABULARY)
     for _ in range(400):
         w = "".join(chr(random.choice([97, 98, 101, 46, 0x416, 0x1F642])) for _ in range(random.randint(1, 30)))
-        assert words.encode_words({w.encode()})[w.encode()] == words32([x.id for x in t.model.tokenize("".join(__import__("gridloom.llm.tokens", fromlist=["byte_letters"]).byte_letters()[b] for b in w.encode()))])
+        assert words.encode_words({w.encode()})[w.encode()] == words32([x.id for x in t.model.tokenize("".join(letters[b] for b in w.encode()))])
 
 
 def test_bpe_round_trip(odd, none, library):
@@ -404,7 +405,7 @@ def test_pipeline(spark):
     rows = [r for r, s in zip(rows, field.scores([t for _, t in rows])) if s >= 0.3]
     seen, unique = set(), []
     for i, t in rows:
-        key = __import__("re").sub(r"[\x20\x09-\x0D]+", " ", t or "")
+        key = re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
         if key not in seen:
             seen.add(key)
             unique.append((i, t))

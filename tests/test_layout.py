@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from gridloom.functions.cells import split_cells, unique_names
 from gridloom.functions.text import format_hint, header_score, sheet_slug, value_shape
 from gridloom.operators.extract import Parsers, data_cells, extract_rows, extract_with
-from gridloom.operators.layout import profile_sheets, with_spec, SPEC_SCHEMA
+from gridloom.operators.layout import SPEC_SCHEMA, profile_sheets
+from gridloom.operators.sheets import split_sheets
 from gridloom.plans.jobs import extract
 
 
@@ -74,7 +75,7 @@ def test_extraction(spark):
 
 def test_user_parser(spark):
     docs = spark.createDataFrame([("g", "id,name\n\n1,John\n\nx,Jane")], "guid string, body_text string")
-    profiles = profile_sheets(__import__("gridloom.operators.sheets", fromlist=["split_sheets"]).split_sheets(docs))
+    profiles = profile_sheets(split_sheets(docs))
     shape = profiles.first().shape_hash
     cells = data_cells(profiles).withColumn("shape_hash", F.lit(shape))
     parsers = Parsers()
