@@ -47,7 +47,7 @@ def token_table(path: str) -> dict[int, bytes]:
 class Vocabulary:
     """A byte-level vocabulary whose merged tokens are numbered in merge order."""
 
-    def __init__(self, path: str, most_kept: int = 300_000):
+    def __init__(self, path: str, most_kept: int = 600_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, before = spec["model"], spec.get("pre_tokenizer") or {}
@@ -209,7 +209,7 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def _blocks(texts: pa.Array, most: int = 3_000_000) -> Iterator[list[str | None]]:
+def _blocks(texts: pa.Array, most: int = 4_000_000) -> Iterator[list[str | None]]:
     block: list[str | None] = []
     size = 0
     for x in texts:
