@@ -136,9 +136,26 @@ def near_duplicates(docs: DataFrame, distance: int = 4, words: int = 4, id_col:
 def first_of_component(docs: DataFrame, distance: int = 4, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one for each component, with all their columns.
 
-    The row with the component's smallest id stays; of several rows with that id, one of them.
+    The row with the component's smallest id stays (a null id loses to any other); of several rows with that id and
+    fingerprint, one of them. Rows are told apart by fingerprint and id, so different texts that share an id, or have
+    none, stay as long as nothing links them.
     """
-    stay = near_duplicates(docs, distance, words, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
-    stay = stay.groupBy("doc_id").count().select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"))
-    marked = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    return marked.join(stay, "_id", "left_semi").dropDuplicates(["_id"]).select(*docs.columns)
+
+    @F.pandas_udf(T.LongType())
+    def hashed(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
+
+    marked = staged(docs.withColumn("_fp", hashed(F.col(text_col))), "fingerprinted")
+    distinct = staged(marked.groupBy(F.col("_fp").alias("fp")).agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies")), "distinct_fingerprints")
+    return first_rows(marked, distinct.join(linked_components(distinct, distance), "fp"), "_fp", id_col).select(*docs.columns)
+
+
+def first_rows(marked: DataFrame, held: DataFrame, key: str, id_col: str) -> DataFrame:
+    """The rows of ``marked`` that stay, one for each component of ``held`` (fp, first_id, component).
+
+    A component's row is that with the smallest ``first_id``, nulls last, then with the smallest fp: ``key`` in ``marked``.
+    """
+    first = held.groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "fp")).alias("first"))
+    stay = first.select(F.col("first.fp").alias(key), F.col("first.first_id").alias("_first"))
+    here = (marked[key] == stay[key]) & marked[id_col].eqNullSafe(stay["_first"])
+    return marked.join(stay, here, "left_semi").dropDuplicates([key])

@@ -133,6 +133,17 @@ def test_near_duplicates(spark, documents, odd, none):
     assert fingerprint(None) == fingerprint(" \n") == 0
 
 
+def test_texts_without_or_with_one_id_stay_apart(spark):
+    """Unlinked texts all stay, whether they have no id, repeat one or have their own; of linked ones, one row."""
+    random.seed(5)
+    text = lambda: " ".join(str(random.random()) for _ in range(40))
+    near = text()
+    rows = [*[(None, text()) for _ in range(6)], *[(7, text()) for _ in range(5)], (8, text()), (None, near), (None, near.upper()), (9, ""), (None, None), (None, " ")]
+    kept = first_of_component(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [7] * 5 + [8, 9] + [None] * 7
+    assert {(r.doc_id, r.text) for r in kept} - {(None, near), (None, near.upper())} == {*rows[:12], (9, "")}
+
+
 def test_no_link_is_lost(spark):
     """Random fingerprints in dense balls, at every distance."""
     from gridloom.llm import simhash
