@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from gridloom import ship
 from gridloom.llm.exact_dedup import DigestIndex, first_of_group
+from gridloom.llm.near_text import first_of_similar
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.quality import score_column, train
 from gridloom.llm.queries import vocabulary_path
 from gridloom.llm.shared import staged
-from gridloom.llm.simhash import first_of_component
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +27,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that fingerprints of five-word shingles link at four bits or fewer."""
+    """One document of each group that links texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
     ship(spark)
-    return first_of_component(docs, distance=4, words=5)
+    return first_of_similar(docs, similarity=0.8, words=5)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

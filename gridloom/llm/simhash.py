@@ -26,19 +26,23 @@ from .shared import join_groups, staged
 BITS = 64
 
 
-def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
-    """SimHash of the word shingles of a text as a signed 64-bit integer."""
+def shingle_hashes(text: str | None, words: int, seed: int) -> np.ndarray:
+    """64-bit hashes of the word shingles of a text; a text of fewer words is one shingle, one without words has none."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and white space only
-    if not parts:
-        return 0
     joined = b" ".join(parts)
     digest = xxhash.xxh64_intdigest
     if len(parts) <= words:
-        hashes = np.array([digest(joined, seed)], dtype=np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist())), np.uint64, len(parts) - words + 1)
+        return np.array([digest(joined, seed)] if parts else [], dtype=np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist())), np.uint64, len(parts) - words + 1)
+
+
+def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
+    """SimHash of the word shingles of a text as a signed 64-bit integer."""
+    hashes = shingle_hashes(text, words, seed)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):  # bounded memory for very long texts
         ones += np.unpackbits(hashes[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)

@@ -174,6 +174,59 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+# ---- near copies by similarity
+
+
+def brute_shingles(text, n=5):
+    w = (text or "").encode().lower().split()
+    return {b" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def test_near_copies_at_every_similarity(spark, odd, none):
+    """The survivors are those of brute force over exact five-word shingle similarity, with pairs around 0.8."""
+    import corpus_pipeline as pipe
+
+    random.seed(9)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    for g in range(60):
+        words = [f"w{random.randrange(10**6)}" for _ in range(random.randint(60, 300))]
+        for k in range(4):
+            new = list(words)
+            for at in random.sample(range(len(words)), random.randint(0, len(words) // 30)):
+                new[at] = f"v{random.randrange(10**6)}"
+            rows.append((10**6 + 10 * g + k if g % 3 else None, " ".join(new)))
+    rows += [(i, t) for i, t, _ in ODD] + [(None, None), (None, "only this here")]
+    sets = [brute_shingles(t) for _, t in rows]
+    where = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s or {None}:
+            where[x].append(i)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    at_least, below = 0, 0
+    for b, s in enumerate(sets):
+        for a in {a for x in s or {None} for a in where[x] if a < b}:
+            both = len(s & sets[a])
+            if s == sets[a] or 5 * both >= 4 * len(s | sets[a]):
+                root[find(b)] = find(a)
+                at_least += both < 0.9 * len(s | sets[a])
+            else:
+                below += both >= 0.7 * len(s | sets[a])
+    assert at_least > 20 and below > 20
+    groups = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        groups[find(i)].append(d)
+    want = [min((d for d in g if d is not None), default=None) for g in groups.values()]
+    kept = pipe.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(5), "")
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert pipe.near_dedup(spark, none, "").count() == 0 and pipe.near_dedup(spark, odd, "").columns == odd.columns
+
+
 # ---- tokens
 
 
