@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import heapq
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,14 +44,25 @@ def balanced_batches(df: DataFrame, size: str, target: int, key: str = "guid") -
 
 
 def global_rank(df: DataFrame, order: list) -> DataFrame:
-    """``df`` with ``_rank`` from 0 by range partitions: a rank within each and the number of rows before it."""
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    """``df`` with ``_rank`` from 0 by range partitions: a rank within each and the number of rows before it.
+
+    The ranges are written once with their numbers, so that rows are counted in the partitions they are ranked in.
+    """
+    ranged = _written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     inner = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return inner.join(F.broadcast(before.drop("_size")), "_part").withColumn("_rank", F.col("_before") + F.col("_n") - 1).drop("_part", "_n", "_before")
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder that the cluster shares and read back."""
+    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-")
+    path = f"{root.rstrip('/')}/gridloom/ranged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bin_progress(items: DataFrame) -> DataFrame:
     """(bins, bins_done, guids, guids_done) of rows (batch, guid, done)."""
     bins = items.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.bool_and("done").alias("done"))

@@ -481,6 +481,12 @@ def table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.table_as_records(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), ["n_nationkey"])
 
 
+@query("SELECT 0 AS line, 'c_custkey,c_name,c_mktsegment' AS record UNION ALL SELECT row_number() OVER (ORDER BY c_mktsegment, c_custkey), CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || c_mktsegment FROM customer")
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a table that grows."""
+    return readers.table_as_records(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), ["c_mktsegment", "c_custkey"])
+
+
 @query("SELECT CAST(page_id AS VARCHAR) AS guid, CAST(strlen(html) AS BIGINT) AS body_length FROM pages")
 def page_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.documents_from_column(table(spark, sf_dir, "pages"), "page_id", "html").select("guid", "body_length")

@@ -89,6 +89,21 @@ def test_batches_are_balanced(spark):
     assert max(r.s for r in got) < 1.02 * mean and max(r.n for r in got) - min(r.n for r in got) <= 20
 
 
+def test_lines_are_numbered_without_gaps(spark):
+    """Columns beyond the sort key make the ranked exchange larger than one of keys only, which must not move its ranges."""
+    keys = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("wide")).repartition(7)
+        got = sorted((r.line, r.record.split(",")[0]) for r in readers.table_as_records(df, ["id"]).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == [(0, "id"), *((i + 1, str(i)) for i in range(4000))]
+
+
 def test_rejected_is_not_failed(spark):
     st = spark.createDataFrame([("a", "complete", None), ("b", "complete", None)], "guid string, status string, error_message string")
     led = spark.createDataFrame([("a", "rejected"), ("b", "failed")], "guid string, status string")
