@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 
 #: Rows placed one by one for each batch; the rest follow by rank.
 HEAD_PER_BATCH = 20
+#: More than so many rows are not placed one by one; all then go by rank.
+MOST_HEAD = 10_000
 
 
 def n_batches(n: int, target: int) -> int:
@@ -21,26 +23,29 @@ def n_batches(n: int, target: int) -> int:
 def balanced_batches(df: DataFrame, size: str, target: int, key: str = "guid") -> DataFrame:
     """``df`` (key, size) with ``batch``: about ``target`` rows each and nearly equal sums of ``size``.
 
-    The largest rows, 20 for each batch, go one by one to the lightest batch; that set is bounded by the number of
-    batches, and is placed on the driver. All others go back and forth over the batches by their global rank, which
-    is a range partition's own rank plus the rows in earlier partitions, never one sort in a single task.
+    Rows go back and forth over the batches by their global rank, which is a range partition's own rank plus the rows
+    in earlier partitions, never one sort in a single task; batches so differ by the largest row at most. Where the
+    batches are few, their largest rows go one by one to the lightest batch before; that is ``MOST_HEAD`` rows at most,
+    whatever the number of rows, and is placed on the driver. Rows are told apart by rank, so keys may repeat.
     """
-    batches = n_batches(df.count(), target)
-    order = [F.desc(size), F.asc(key)]
-    head = df.orderBy(*order).limit(HEAD_PER_BATCH * batches)
+    ranked = _written(global_rank(df, [F.desc(size), F.asc(key)]))
+    batches = n_batches(ranked.count(), target)
+    head = HEAD_PER_BATCH * batches if HEAD_PER_BATCH * batches <= MOST_HEAD else 0
+    turn, at = F.floor((F.col("_rank") - head) / batches), (F.col("_rank") - head) % batches
+    place = F.when(turn % 2 == 0, at).otherwise(batches - 1 - at).cast("int")
+    if not head:
+        return ranked.withColumn("batch", place).select(*df.columns, "batch")
     loads = [(0, b) for b in range(batches)]
     placed = []
-    for k, n in head.select(key, size).collect():
+    for rank, n in ranked.filter(F.col("_rank") < head).orderBy("_rank").select("_rank", size).collect():
         load, b = heapq.heappop(loads)
         heapq.heappush(loads, (load + (n or 0), b))
-        placed.append((k, b))
+        placed.append((rank, b))
     spark = df.sparkSession
-    fixed = spark.createDataFrame(placed, f"{key} {df.schema[key].dataType.simpleString()}, batch int")
+    fixed = F.broadcast(spark.createDataFrame(placed, "_rank long, batch int"))
     lightest_first = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(sorted(loads))], "_place int, batch int")
-    rest = global_rank(df.join(F.broadcast(fixed), key, "left_anti"), order)
-    turn, at = F.floor(F.col("_rank") / batches), F.col("_rank") % batches
-    rest = rest.withColumn("_place", F.when(turn % 2 == 0, at).otherwise(batches - 1 - at).cast("int")).join(F.broadcast(lightest_first), "_place").drop("_place", "_rank")
-    return df.join(F.broadcast(fixed), key).unionByName(rest.select(*df.columns, "batch"))
+    rest = ranked.filter(F.col("_rank") >= head).withColumn("_place", place).join(F.broadcast(lightest_first), "_place")
+    return ranked.join(fixed, "_rank").select(*df.columns, "batch").unionByName(rest.select(*df.columns, "batch"))
 
 
 def global_rank(df: DataFrame, order: list) -> DataFrame:

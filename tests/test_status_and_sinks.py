@@ -104,6 +104,20 @@ def test_lines_are_numbered_without_gaps(spark):
     assert got == [(0, "id"), *((i + 1, str(i)) for i in range(4000))]
 
 
+def test_rows_of_one_key_are_placed_once(spark):
+    d = spark.createDataFrame([("twin", 1000), ("twin", 1000), *((str(i), i) for i in range(300))], "guid string, body_length int")
+    got = [tuple(r) for r in batching.balanced_batches(d, "body_length", 100).select("guid", "body_length").collect()]
+    assert sorted(got) == sorted(tuple(r) for r in d.collect())
+
+
+def test_many_batches_need_no_driver(spark, monkeypatch):
+    d = spark.range(3000).select(F.col("id").cast("string").alias("guid"), (F.col("id") * 7 % 997).alias("body_length"))
+    monkeypatch.setattr(batching, "MOST_HEAD", 100)
+    monkeypatch.setattr(batching.heapq, "heappop", None)
+    got = batching.balanced_batches(d, "body_length", 100).groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum("body_length").alias("s")).collect()
+    assert len(got) == 30 and {r.n for r in got} == {100} and max(r.s for r in got) - min(r.s for r in got) <= 997
+
+
 def test_rejected_is_not_failed(spark):
     st = spark.createDataFrame([("a", "complete", None), ("b", "complete", None)], "guid string, status string, error_message string")
     led = spark.createDataFrame([("a", "rejected"), ("b", "failed")], "guid string, status string")
