@@ -6,8 +6,8 @@ k-th verified distance lies within that radius, so results are exact. Rounds are
 
 Defined results: a null or empty embedding has no code, is in no result and as a query gives no rows; a null element
 counts as not positive; a query is never its own neighbour, but rows with other ids and the same code are; ties go to
-the smaller id; of rows that repeat an id and code one counts; with fewer than k others all are returned. Other
-columns are not read.
+the smaller id; of rows that repeat an id and code one counts; with fewer than k others all are returned; a
+vector of more than 64 elements is refused. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ MOST_WIDE = 22
 
 
 def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(id, code): bit i is set where element i (of the first 64) is positive."""
-    set_bits = F.transform(F.slice(vector_col, 1, BITS), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    """(id, code): bit i is set where element i is positive. A vector of more than 64 elements is an error."""
+    refused = F.raise_error(F.lit(f"a vector has more than {BITS} elements"))
+    whole = F.when(F.size(vector_col) <= BITS, F.col(vector_col)).otherwise(refused)
+    set_bits = F.transform(whole, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
     code = F.aggregate(set_bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
     return vectors.filter(F.size(vector_col) > 0).select(F.col(id_col).alias("id"), code.alias("code")).distinct()
 

@@ -22,7 +22,7 @@ from gridloom.llm.packing import best_fit_decreasing, pack_documents, sequences
 from gridloom.llm.simhash import fingerprint, first_of_component, near_duplicates
 from gridloom.llm.token_files import FrameReader, read_token_files, write_token_files
 from gridloom.llm.tokens import TextEncoder, byte_letters
-from gridloom.llm.topk import top_k
+from gridloom.llm.topk import sign_codes, top_k
 from gridloom.llm.url_filter import GlobAutomaton, filter_urls
 from gridloom.llm.warc import read_archives, write_archives
 
@@ -358,6 +358,13 @@ def test_top_k(spark, n):
             assert got[q] == sorted((bin((c ^ code) & (2**64 - 1)).count("1"), i) for i, c in rows if i != q)[:10]
 
 
+def test_wide_vectors_are_refused(spark):
+    frame = lambda *sizes: spark.createDataFrame([(n, [-1.0] * (n - 1) + [1.0]) for n in sizes], "vec_id int, embedding array<double>")
+    assert {r.id: r.code & (2**64 - 1) for r in sign_codes(frame(3, 64)).collect()} == {3: 4, 64: 1 << 63}
+    with pytest.raises(Exception, match="more than 64"):
+        sign_codes(frame(3, 65)).collect()
+
+
 # ---- URL filter
 
 
