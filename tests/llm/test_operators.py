@@ -417,6 +417,20 @@ def test_main_text(spark):
     assert salted == got
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    """Where no tag marks the article, a text is the template's only if all pages have it and three of them differ."""
+    copies = [(i, "http://copies.example/a", page("<div><h2>Only head</h2><p>only paragraph here</p></div>")) for i in range(5)]
+    body = lambda i: f"<div><b>Template line</b><p>{' '.join(f'w{i}y{k}' for k in range(30))}</p>"
+    more = [(100 + i, "http://more.example/a", page(body(i) + "</div>")) for i in range(20)]
+    more += [(200 + i, "http://more.example/b", page(body(99) + "<blockquote>quoted by copies</blockquote></div>")) for i in range(4)]
+    frame = spark.createDataFrame(copies + more, "page_id int, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.main_texts(frame).collect()}
+    assert {got[i] for i in range(5)} == {"Only head only paragraph here"}
+    for i in range(20):
+        assert got[100 + i] == " ".join(f"w{i}y{k}" for k in range(30))
+    assert {got[200 + i] for i in range(4)} == {" ".join(f"w99y{k}" for k in range(30)) + " quoted by copies"}
+
+
 def test_wrapper_rules():
     item = lambda h: html_text.item_of(html_text.parse(h))
     w = html_text.merge(item("<ul><li>a<li>b</ul><p>x"), item("<ul><li>a</ul><h2>t</h2><p>y<p>z"))
