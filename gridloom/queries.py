@@ -168,6 +168,13 @@ def delimiter_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.detect_delimiter(d).select("doc_id", "delimiter_name", F.round("delimiter_confidence", 3).alias("confidence"))
 
 
+@query()
+def all_delimiter_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, with those that hold quotes; tests hold them against Python's csv module."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("records"))
+    return layout.detect_delimiter(d).select("doc_id", "delimiter_name", F.round("delimiter_confidence", 3).alias("confidence"))
+
+
 @query("SELECT doc_id, CAST(len(string_split(text, chr(10))) AS INTEGER) AS records, CAST(CASE WHEN len(string_split(text, chr(10))) <= 60 THEN len(string_split(text, chr(10))) ELSE 60 END AS INTEGER) AS sampled, CAST(len(string_split(text, chr(10))) - 1 AS INTEGER) AS last_line FROM documents")
 def head_tail_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("records"))
@@ -195,6 +202,12 @@ def format_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", text.format_hint(F.split("text", "\n")).alias("hint"))
 
 
+@query()
+def all_format_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, with those that read like JSON; tests hold them against plain Python."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.format_hint(F.split("text", "\n")).alias("hint"))
+
+
 @query()
 def header_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line of each document that reads most like a header, and its score."""
@@ -524,6 +537,15 @@ def samples_of_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("guid", "column_name", F.array_join("samples", ";").alias("samples"))
 
 
+@query("""
+    WITH c AS (SELECT CAST(c_nationkey AS VARCHAR) AS guid, c_custkey, unnest([c_name, CAST(CAST(c_acctbal AS DECIMAL(15,2)) AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN c_name || '@x.com' END]) AS v, unnest(['name', 'account', 'email']) AS column_name FROM customer),
+    n AS (SELECT *, row_number() OVER (PARTITION BY guid, column_name ORDER BY c_custkey) AS n FROM c WHERE coalesce(v, '') <> '')
+    SELECT guid, column_name, string_agg(v, ';' ORDER BY n) AS samples FROM n WHERE n <= 3 GROUP BY guid, column_name
+""")
+def samples_of_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_map.column_samples(long_rows(spark, sf_dir)).select("guid", "column_name", F.array_join("samples", ";").alias("samples"))
+
+
 @query("""
     SELECT conv_id || ' ' || upper(role) AS column_name, substr(sha256('v3|' || conv_id || ' ' || role), 1, 16) AS column_key FROM conversations
 """)

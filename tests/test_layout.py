@@ -15,6 +15,37 @@ def profile(spark, *sheets):
     return profile_sheets(df)
 
 
+def test_quoted_and_json_documents_are_judged(spark, tmp_path):
+    """The queries over all documents: quoted cells as Python's csv module splits them, the json hint, no document lost."""
+    import csv
+
+    from gridloom import queries
+
+    quoted = ['"a, b, c";x;y', '"d, e";z;w', '"f";"g; h";i']
+    texts = ["\n".join(quoted), '"p|q","r|s"\n"t|u","v|w"', 'plain words "said" here', '{"k": 1}\n{"k": 2}', "[1, 2]\n[3, 4]\nx", "a,b\n{c"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    votes = {r.doc_id: (r.delimiter_name, r.confidence) for r in queries.QUERIES["all_delimiter_votes"](spark, str(tmp_path)).collect()}
+
+    def vote(text):
+        best = ("unknown", 0.0)
+        for d, name in ((",", "comma"), ("|", "pipe"), ("\t", "tab"), (";", "semicolon")):
+            all_widths = [len(x) for x in csv.reader(text.split("\n"), delimiter=d)]
+            widths = [w for w in all_widths if w > 1]
+            if widths:
+                w = max(widths, key=widths.count)
+                score = widths.count(w) / len(all_widths) * min(1.0, 0.5 + w / 20)
+                best = (name, score) if score > best[1] else best
+        return best[0], round(best[1], 3)
+
+    assert votes == {i: vote(t) for i, t in enumerate(texts)} and votes[0][0] == "semicolon"
+    hints = {r.doc_id: r.hint for r in queries.QUERIES["all_format_hints"](spark, str(tmp_path)).collect()}
+    assert len(hints) == len(texts) and hints[3] == hints[4] == "json" and hints[5] == "csv"
+    given = "/root/testdata/sf0.001"
+    for name in ("delimiter_votes", "format_hints"):
+        whole = queries.QUERIES[f"all_{name}"](spark, given)
+        assert whole.count() == spark.read.parquet(f"{given}/documents.parquet").count() and queries.QUERIES[name](spark, given).subtract(whole).count() == 0
+
+
 def test_profiles(spark):
     rows = profile(
         spark,
