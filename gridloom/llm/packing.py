@@ -93,9 +93,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, seq_len: int, id_c
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = memoryview(encode.encode(text.as_py()) + end)
-                n, at, doc = len(ids) // 4, 0, doc_id.as_py()
+            for doc, found in zip(batch["doc_id"].to_pylist(), encode.encode_all(x.as_py() for x in batch["text"])):
+                ids = memoryview(found + end)
+                n, at = len(ids) // 4, 0
                 for piece in range(-(-n // seq_len)):
                     size = (n % seq_len or seq_len) if piece == 0 else seq_len
                     out.append((doc, piece, at, size, zlib.crc32(ids[4 * at : 4 * (at + size)])))
@@ -149,8 +149,8 @@ def sequences(docs: DataFrame, placed: DataFrame, tokenizer_path: str, end_id: i
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = []
-            for text, slots in zip(batch["text"].to_pylist(), batch["slots"].to_pylist()):
-                ids = np.frombuffer(encode.encode(text) + end, "<u4")
+            for found, slots in zip(encode.encode_all(x.as_py() for x in batch["text"]), batch["slots"].to_pylist()):
+                ids = np.frombuffer(found + end, "<u4")
                 out += [{"sequence_id": s["sequence_id"], "offset": s["offset"], "ids": ids[s["start"] : s["start"] + s["length"]].astype("<i4")} for s in slots]
             yield pa.RecordBatch.from_pylist(out, pa.schema([("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.list_(pa.int32()))]))
 

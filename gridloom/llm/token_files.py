@@ -114,8 +114,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
             writer = FrameWriter(out, width)
             batch = first
             while batch is not None:
-                for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                    writer.add(doc_id.as_py(), encode.encode(text.as_py()) + end)
+                for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode.encode_all(x.as_py() for x in batch["text"])):
+                    writer.add(doc_id, ids + end)
                 batch = next(batches, None)
             total = writer.close()
         yield pa.RecordBatch.from_pydict({"part": [part], "path": [uri], "n_docs": [len(writer.ids)], "n_tokens": [total]})
