@@ -12,8 +12,8 @@ the library gives; null ids decode to empty text; other columns are not read.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
+import struct
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,41 +22,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .tokens import SETTLED, SPLITS, byte_letters
+from .tokens import PieceEncoder, byte_letters
 
-_loaded: dict[str, Vocabulary] = {}
-_tables: dict[str, dict[int, bytes]] = {}
-
-
-def as_bytes() -> Callable[[str], bytes]:
-    """What a byte-level vocabulary's word stands for."""
-    byte_of = {c: b for b, c in byte_letters().items()}
-    return lambda word: bytes(map(byte_of.__getitem__, word))
+#: How byte-level tokenizers split text before their merges (fixed value).
+SPLITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Below it all Unicode versions agree on what a letter or a number is.
+SETTLED = "\u0530"
+#: Known pairs of tokens that a worker keeps.
+MOST_PAIRS = 500_000
 
-
-def token_table(path: str) -> dict[int, bytes]:
-    """The bytes of every token, added ones included, loaded once in each Python worker; all that decoding needs."""
-    if path not in _tables:
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        raw = as_bytes()
-        _tables[path] = {i: raw(w) for w, i in spec["model"]["vocab"].items()} | {x["id"]: x["content"].encode() for x in spec.get("added_tokens", [])}
-    return _tables[path]
+_loaded: dict[str, Vocabulary] = {}
 
 
-class Vocabulary:
+class Vocabulary(PieceEncoder):
     """A byte-level vocabulary whose merged tokens are numbered in merge order."""
 
-    def __init__(self, path: str, most_kept: int = 600_000):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, before = spec["model"], spec.get("pre_tokenizer") or {}
-        if model.get("type") != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space", True) or not before.get("use_regex", True) or spec.get("normalizer") or model.get("ignore_merges"):
+    def __init__(self, path: str, most_bytes: int = 96 << 20):
+        super().__init__(path, most_bytes)
+        model = self.spec["model"]
+        if model.get("type") != "BPE" or not self.cuts or model.get("ignore_merges"):
             raise ValueError("a plain byte-level BPE vocabulary is needed")
-        raw = as_bytes()
+        byte_of = {c: b for b, c in byte_letters().items()}
+        raw = lambda word: bytes(map(byte_of.__getitem__, word))
         self.token_bytes: dict[int, bytes] = {i: raw(w) for w, i in model["vocab"].items()}
         self.id_of = {b: i for i, b in self.token_bytes.items()}
-        self.prefixes = {b[:n] for b in self.id_of for n in range(1, len(b) + 1)}
+        self.prefixes = {b[:n] for b in self.id_of for n in range(len(b) + 1)}
         self.rank: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         self.made_at: dict[int, int] = {}
@@ -66,22 +56,26 @@ class Vocabulary:
             self.rank.setdefault((a, b), n)
             if made not in self.halves:
                 self.halves[made], self.made_at[made] = (a, b), n
-        self.added = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
         self.token_bytes |= {i: s.encode() for s, i in self.added.items()}
         self.added_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.library = Tokenizer.from_file(path).pre_tokenizer  # splits text with letters on which Unicode versions differ
-        self.apart: dict[tuple[int, int], bool] = {}
-        self.kept: dict[str, bytes] = {}  # ids of blank-led pieces, and of the words in them
-        self.kept_words: dict[bytes, bytes] = {}
-        self.most_kept = most_kept
+        self.apart: dict[int, bool] = {}
+        self.sound: dict[int, bool] = {}
+        # States of the automaton that reads words: the longest ending so far that begins a token. Made as they are met.
+        self.names, self.state_of = [b""], {b"": 0}
+        self.moves: dict[int, int] = {}
+        self.endings: list[list[tuple[int, int]]] = [[]]
+        self.line_feed = self.whole("\n")
+        del self.spec
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether the merges, run over both tokens' bytes, end in exactly these two tokens."""
-        known = self.apart.get((left, right))
+        key = left << 32 | right
+        known = self.apart.get(key)
         if known is None:
             known = self._nothing_across(left, right, 1 << 60)
-            if len(self.apart) < 1_000_000:
-                self.apart[left, right] = known
+            if len(self.apart) < MOST_PAIRS:
+                self.apart[key] = known
         return known
 
     def _nothing_across(self, a: int, b: int, until: int) -> bool:
@@ -103,103 +97,96 @@ class Vocabulary:
             else:
                 return True
 
-    def whole(self, token: int) -> bool:
+    def is_sound(self, token: int) -> bool:
         """Whether the merges make this token out of its own bytes."""
         if token not in self.halves:
             return True
-        key = (-1, token)
-        if key not in self.apart:
+        if token not in self.sound:
             a, b = self.halves[token]
-            self.apart[key] = self.whole(a) and self.whole(b) and self._nothing_across(a, b, self.made_at[token])
-        return self.apart[key]
-
-    def encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of distinct words. Insertion in sorted order is the depth-first walk: nodes are numbered as visited."""
-        # For each trie node: its prefix's last token, the node before that token, and where the longest ending that
-        # begins any token starts.
-        last, came_from, reach = [-1], [-1], [0]
-        path, previous, out = [0], b"", {}
-        id_of, apart, stay_apart, prefixes = self.id_of, self.apart, self.stay_apart, self.prefixes
+            self.sound[token] = self.is_sound(a) and self.is_sound(b) and self._nothing_across(a, b, self.made_at[token])
+        return self.sound[token]
+
+    def move(self, state: int, byte: int) -> int:
+        """The state after a further byte."""
+        ending = self.names[state] + bytes((byte,))
+        while ending not in self.prefixes:
+            ending = ending[1:]
+        to = self.state_of.get(ending)
+        if to is None:
+            to = self.state_of[ending] = len(self.names)
+            self.names.append(ending)
+            tokens = ((len(ending) - n, self.id_of.get(ending[n:])) for n in range(len(ending)))
+            self.endings.append([(size, token) for size, token in tokens if token is not None and self.is_sound(token)])
+        self.moves[state << 8 | byte] = to
+        return to
+
+    def encode_words(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of distinct words. Words in sorted order are their trie in depth-first order, so what is held is the
+        path to the current node: each node's automaton state, last token, and the depth at which that token starts."""
+        longest = max(map(len, words), default=0)
+        state, last, starts = [0] * (longest + 1), [0] * (longest + 1), [0] * (longest + 1)
+        moves, endings, apart, move, stay_apart = self.moves, self.endings, self.apart, self.move, self.stay_apart
+        packers = [struct.Struct(f"<{n}I").pack for n in range(64)]
+        previous = b""
         for word in sorted(words):
             shared = 0
             for x, y in zip(previous, word):
                 if x != y:
                     break
                 shared += 1
-            del path[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                low = reach[path[-1]]
-                while word[low:end] not in prefixes:
-                    low += 1
-                for start in range(low, end):
-                    token = id_of.get(word[start:end])
-                    if token is None:
-                        continue
-                    node = path[start]
+            at = state[shared]
+            for depth in range(shared, len(word)):
+                byte = word[depth]
+                to = moves.get(at << 8 | byte)
+                at = move(at, byte) if to is None else to
+                depth += 1
+                state[depth] = at
+                for size, token in endings[at]:
+                    start = depth - size
                     if start:
-                        fits = apart.get((last[node], token))
-                        if fits is None:
-                            fits = stay_apart(last[node], token)
-                        if not fits:
+                        left = last[start]
+                        fits = apart.get(left << 32 | token)
+                        if not (stay_apart(left, token) if fits is None else fits):
                             continue
-                    elif not self.whole(token):
-                        continue
+                    last[depth], starts[depth] = token, start
                     break
-                path.append(len(last))
-                last.append(token)
-                reach.append(low)
-                came_from.append(node)
-            ids, node = [], path[-1]
-            while node:
-                ids.append(last[node])
-                node = came_from[node]
-            out[word] = np.array(ids[::-1], "<u4").tobytes()
+            ids, depth = [], len(word)
+            while depth:
+                ids.append(last[depth])
+                depth = starts[depth]
+            ids.reverse()
+            yield word, packers[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
             previous = word
-        return out
-
-    def pieces(self, text: str) -> list[list[str]] | None:
-        """Lines of blank-separated pieces where no other white space and no added token occur, else None."""
-        if len(text.split()) == text.count(" ") + text.count("\n") + 1 and not any(x in text for x in self.added):
-            return [line.split(" ") for line in text.split("\n")]
-        return None
 
     def split(self, text: str) -> list[str]:
         if not text or max(text) < SETTLED:
             return SPLITS.findall(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
 
-    def encode_block(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text of a block as unsigned 32-bit integers; each distinct new word is encoded once."""
-        plans: list[list] = []
-        new: set[str] = set()
-        for text in texts:
-            plan: list = []
-            if text:
-                if (lines := self.pieces(text)) is not None:
-                    for n, (head, *rest) in enumerate(lines):
-                        plan.append("\n" + head if n else head)
-                        plan += [" " + x for x in rest]
-                else:
-                    for chunk in self.added_pattern.split(text) if self.added_pattern else [text]:
-                        plan += [self.added[chunk]] if chunk in self.added else self.split(chunk)
-                new.update(x for x in plan if x.__class__ is str)
-            plans.append(plan)
-        kept = self.kept
-        new.difference_update(kept)
-        splits = {piece: [w.encode() for w in self.split(piece)] for piece in new}
-        seen = self.kept_words
-        fresh = self.encode_words({w for x in splits.values() for w in x if w not in seen})
-        block = {piece: b"".join([seen[w] if w in seen else fresh[w] for w in x]) for piece, x in splits.items()}
-        if len(seen) < self.most_kept:
-            seen.update(fresh)
-        out = []
-        for plan in plans:
-            out.append(b"".join([np.array([x], "<u4").tobytes() if x.__class__ is int else kept[x] if x in kept else block[x] for x in plan]))
-        if len(kept) < self.most_kept:
-            kept.update(block)
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+    def encode_pieces(self, pieces: list[str], lead: str) -> Iterator[bytes]:
+        whole: dict[bytes, bytes] = {}
+        parts: dict[str, list[bytes]] = {}
+        for piece in pieces:
+            text = lead + piece
+            if piece.isalpha() and max(piece) < SETTLED:
+                whole[text.encode()] = b""
+            else:
+                parts[piece] = [x.encode() for x in self.split(text)]
+        words = set(whole)
+        for x in parts.values():
+            words.update(x)
+        known = dict(self.encode_words(words))
+        for piece in pieces:
+            yield known[(lead + piece).encode()] if piece not in parts else b"".join([known[w] for w in parts[piece]])
+
+    def whole(self, text: str) -> bytes:
+        plan: list[bytes | int] = []
+        for chunk in self.added_pattern.split(text) if self.added_pattern else [text]:
+            plan += [self.added[chunk]] if chunk in self.added else [x.encode() for x in self.split(chunk)]
+        known = dict(self.encode_words({x for x in plan if x.__class__ is bytes}))
+        return b"".join([known[x] if x.__class__ is bytes else struct.pack("<I", x) for x in plan])
+
+    def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
@@ -209,17 +196,22 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def _blocks(texts: pa.Array, most: int = 4_000_000) -> Iterator[list[str | None]]:
-    block: list[str | None] = []
-    size = 0
-    for x in texts:
-        block.append(x.as_py())
-        size += len(block[-1] or "")
+def _ids_array(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("<i4")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))]))
+
+
+def _portions(batch: pa.RecordBatch, words: Vocabulary, most: int = 1_000_000) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """Ids of documents and of their texts, some million at a time."""
+    at, size, held = 0, 0, []
+    for ids in words.encode_all(x.as_py() for x in batch["text"]):
+        held.append(ids)
+        size += len(ids)
         if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+            yield batch["doc_id"].slice(at, len(held)), held
+            at, size, held = at + len(held), 0, []
+    if held:
+        yield batch["doc_id"].slice(at), held
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,13 +220,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(tokenizer_path)
         for batch in batches:
-            at = 0
-            for block in _blocks(batch["text"]):
-                ids = words.encode_block(block)
-                ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("<i4")
-                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(at, len(block)), pa.ListArray.from_arrays(pa.array(ends), values)], names=["doc_id", "ids"])
-                at += len(block)
+            for doc_ids, ids in _portions(batch, words):
+                yield pa.RecordBatch.from_arrays([doc_ids, _ids_array(ids)], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, ids array<int>")
 
@@ -243,13 +230,30 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``; broken UTF-8 becomes U+FFFD."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_table(tokenizer_path)
+        words = vocabulary(tokenizer_path)
         for batch in batches:
             step = 200
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                texts = [b"".join([table[i] for i in x or ()]).decode("utf-8", "replace") for x in part["ids"].to_pylist()]
+                texts = [words.decode(x or ()) for x in part["ids"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["ids"], pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+
+
+def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>, decoded): both directions in one pass, so a task needs one worker and one vocabulary.
+
+    ``decoded`` is made from the ids alone, as ``decode`` makes it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(tokenizer_path)
+        for batch in batches:
+            for doc_ids, ids in _portions(batch, words):
+                texts = [words.decode(memoryview(x).cast("I")) for x in ids]
+                yield pa.RecordBatch.from_arrays([doc_ids, _ids_array(ids), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")

@@ -57,9 +57,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe import decode, encode
+    from .bpe import encode_and_decode
 
-    both = decode(encode(_table(spark, sf_dir, "documents"), vocabulary_path()), vocabulary_path())
+    both = encode_and_decode(_table(spark, sf_dir, "documents"), vocabulary_path())
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

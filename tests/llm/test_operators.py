@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridloom.llm import html_text, queries, quality
-from gridloom.llm.bpe import Vocabulary, decode, encode
+from gridloom.llm.bpe import Vocabulary, decode, encode, encode_and_decode
 from gridloom.llm.components import connected_components
 from gridloom.llm.exact_dedup import DigestIndex, deduplicate, first_of_group
 from gridloom.llm.packing import best_fit_decreasing, pack_documents, sequences
@@ -231,12 +231,12 @@ def test_near_copies_at_every_similarity(spark, odd, none):
 
 
 def test_encoder_is_the_library(library):
-    encoder, words = TextEncoder(VOCABULARY, most_kept=50), Vocabulary(VOCABULARY, most_kept=50)
+    encoder, words = TextEncoder(VOCABULARY, most_bytes=10_000), Vocabulary(VOCABULARY, most_bytes=10_000)
     random.seed(0)
     texts = ["".join(random.choice("ab ,.'sé1\n!Üñ ’Жa\teth e") for _ in range(random.randint(0, 40))) for _ in range(3000)]
     texts += ["", " ", "x<|endoftext|>", "a" * 300, "  \n\n ", "it's he'll", "\u3000x\u00a0y", "՘ 🙂‍", *[t for _, t, _ in ODD if t and t != LONG]]
     assert [encoder.encode(t) for t in texts] == [words32(library(t)) for t in texts]
-    assert words.encode_block(texts) == [words32(library(t)) for t in texts]
+    assert list(encoder.encode_all(texts)) == list(words.encode_all(texts)) == [words32(library(t)) for t in texts]
 
 
 def test_trie_on_random_bytes():
@@ -245,11 +245,13 @@ def test_trie_on_random_bytes():
     t = Tokenizer.from_file(VOCABULARY)
     for _ in range(400):
         w = "".join(chr(random.choice([97, 98, 101, 46, 0x416, 0x1F642])) for _ in range(random.randint(1, 30)))
-        assert words.encode_words({w.encode()})[w.encode()] == words32([x.id for x in t.model.tokenize("".join(letters[b] for b in w.encode()))])
+        assert dict(words.encode_words({w.encode()}))[w.encode()] == words32([x.id for x in t.model.tokenize("".join(letters[b] for b in w.encode()))])
 
 
 def test_bpe_round_trip(odd, none, library):
     got = sorted(((r.doc_id, list(r.ids), r.decoded) for r in decode(encode(odd, VOCABULARY), VOCABULARY).collect()), key=str)
+    both = sorted(((r.doc_id, list(r.ids), r.decoded) for r in encode_and_decode(odd, VOCABULARY).collect()), key=str)
+    assert both == got and encode_and_decode(none, VOCABULARY).count() == 0
     assert got == sorted(((i, library(t), t or "") for i, t, _ in ODD), key=str)
     assert decode(encode(none, VOCABULARY), VOCABULARY).count() == 0
     assert Vocabulary(VOCABULARY).decode([127, 250, 447]) == Tokenizer.from_file(VOCABULARY).decode([127, 250, 447], skip_special_tokens=False)
