@@ -18,10 +18,12 @@ _fallback: dict[str, str] = {}
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that the cluster shares, ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a single machine) a temporary folder takes its place.
+    Only where that setting is absent on a single machine (tests) a temporary folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or _fallback.get("root")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
         root = _fallback["root"] = tempfile.mkdtemp(prefix="gridloom-")
     return f"{root.rstrip('/')}/gridloom/{re.sub(r'[^a-z0-9_]', '_', name.lower())}-{uuid.uuid4().hex}"
 
@@ -37,6 +39,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a staged table of few bytes that much is made of, over tasks of about ``rows`` rows each."""
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import join_groups, staged
+from .shared import join_groups, spread, staged
 
 BITS = 64
 
@@ -102,7 +102,7 @@ def linked_components(distinct: DataFrame, distance: int = 4) -> DataFrame:
     such rows probe the bucket, and the join emits a pair once, from the first signature that it shares.
     """
     order = Window.partitionBy("wild", "part").orderBy("fp")
-    near = signatures(distinct.select("fp"), distance).withColumn("other", F.lag("fp").over(order)).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= distance)
+    near = signatures(spread(distinct.select("fp"), 16384), distance).withColumn("other", F.lag("fp").over(order)).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= distance)
     first = connected_components(staged(near.select(F.col("other").alias("a"), F.col("fp").alias("b")).distinct(), "near_links"))
     sizes = first.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     known = staged(
@@ -110,7 +110,7 @@ def linked_components(distinct: DataFrame, distance: int = 4) -> DataFrame:
         .select("fp", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).alias("members")),
         "first_components",
     )
-    keyed = signatures(known, distance)
+    keyed = signatures(spread(known, 16384), distance)
     largest = F.max(F.struct("members", "c")).over(Window.partitionBy("wild", "part"))
     probes = keyed.withColumn("largest", largest["c"]).filter("c <> largest").select("wild", "part", F.col("fp").alias("fp_a"), F.col("c").alias("c_a"))
     bucket = keyed.select(F.col("wild").alias("wild_b"), F.col("part").alias("part_b"), F.col("fp").alias("fp_b"), F.col("c").alias("c_b"))
