@@ -62,7 +62,11 @@ def global_rank(df: DataFrame, order: list) -> DataFrame:
 
 def _written(df: DataFrame) -> DataFrame:
     """``df`` written to the folder that the cluster shares and read back."""
-    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-")
+    root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not df.sparkSession.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
+        root = tempfile.mkdtemp(prefix="gridloom-")
     path = f"{root.rstrip('/')}/gridloom/ranged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -88,8 +92,13 @@ def evict_shapes(shapes: DataFrame, most: int) -> DataFrame:
     n = shapes.count()
     if n <= most:
         return shapes
-    gone = shapes.orderBy("hit_count", "created_at", "schema_hash").limit(max(1, n // 10)).select("schema_hash")
-    return shapes.join(gone, "schema_hash", "left_anti")
+    # Counts of hits are few, however many the shapes: their running total gives the count that the tenth ends in.
+    running = Window.orderBy("hit_count").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = shapes.groupBy("hit_count").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(running))
+    border = totals.filter(F.col("upto") >= max(1, n // 10)).orderBy("hit_count").select("hit_count", (F.col("upto") - F.col("n")).alias("below")).first()
+    oldest = global_rank(shapes.filter(F.col("hit_count") == border["hit_count"]).select("schema_hash", "created_at"), [F.asc("created_at"), F.asc("schema_hash")])
+    gone = oldest.filter(F.col("_rank") < max(1, n // 10) - border["below"]).select("schema_hash")
+    return shapes.filter(F.col("hit_count") >= border["hit_count"]).join(gone, "schema_hash", "left_anti")
 
 
 def throughput(batches: DataFrame) -> DataFrame:

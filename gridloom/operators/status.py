@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -83,10 +85,16 @@ def latest_verdict(log: DataFrame) -> DataFrame:
     return log.groupBy("guid").agg(F.max(F.struct("staged_at", "status", *rest)).alias("v")).select("guid", "v.*")
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """``rows`` with a guid once: of several rows the least. Repeated guids would repeat what they are joined with."""
+    rest = [c for c in rows.columns if c != "guid"]
+    return rows.groupBy("guid").agg(F.min(F.struct(*rest)).alias("_r")).select("guid", *[F.col("_r")[c].alias(c) for c in rest]) if rest else rows.distinct()
+
+
 def merge_population(status: DataFrame, scored: DataFrame) -> DataFrame:
     """Status rows updated from ``scored`` where still open, and scored documents that were missing."""
     cols = [c for c in status.columns if c != "guid"]
-    marked = status.withColumn("_old", F.lit(True)).alias("s").join(scored.withColumn("_new", F.lit(True)).alias("n"), "guid", "full")
+    marked = status.withColumn("_old", F.lit(True)).alias("s").join(one_each(scored).withColumn("_new", F.lit(True)).alias("n"), "guid", "full")
     replace = F.col("_new") & (F.col("_old").isNull() | F.col("s.status").isin(*OPEN))
     have = set(scored.columns)
     return marked.select("guid", *[(F.when(replace, F.col(f"n.{c}")).otherwise(F.col(f"s.{c}")) if c in have else F.col(f"s.{c}")).alias(c) for c in cols])
@@ -96,7 +104,7 @@ def merge_verdicts(status: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Every guid of either side; what a verdict says wins over what was there."""
     cols = [c for c in status.columns if c != "guid"]
     have = set(verdicts.columns)
-    met = status.alias("s").join(verdicts.alias("v"), "guid", "full")
+    met = status.alias("s").join(one_each(verdicts).alias("v"), "guid", "full")
     return met.select("guid", *[(F.coalesce(F.col(f"v.{c}"), F.col(f"s.{c}")) if c in have else F.col(f"s.{c}")).alias(c) for c in cols])
 
 
@@ -121,14 +129,14 @@ def status_drift(ours: DataFrame, theirs: DataFrame, names: DataFrame) -> DataFr
 
 def apply_verdicts(ours: DataFrame, theirs: DataFrame, names: DataFrame) -> DataFrame:
     """``theirs`` with the mapped status where ours has an outcome that differs."""
-    mapped = ours.select("guid", F.col("status").alias("ours")).join(F.broadcast(names), "ours").select("guid", F.col("theirs").alias("_to"))
+    mapped = ours.select("guid", F.col("status").alias("ours")).join(F.broadcast(names), "ours").select("guid", F.col("theirs").alias("_to")).transform(one_each)
     return theirs.join(mapped, "guid", "left").withColumn("status", F.coalesce("_to", "status")).select(*theirs.columns)
 
 
 def sync_status(ours: DataFrame, theirs: DataFrame, names: DataFrame) -> DataFrame:
     """``apply_verdicts`` that carries document_type over too, where ours has one."""
     mapped = ours.select("guid", F.col("status").alias("ours"), F.col("document_type").alias("_type")).join(F.broadcast(names), "ours")
-    met = theirs.join(mapped, "guid", "left")
+    met = theirs.join(one_each(mapped.select("guid", "theirs", "_type")), "guid", "left")
     return met.withColumn("document_type", F.coalesce("_type", "document_type")).withColumn("status", F.coalesce("theirs", "status")).select(*theirs.columns)
 
 
@@ -180,11 +188,16 @@ def requeue(status: DataFrame, from_status: str, source: str | None = None, n: i
 
 def gate_document_type(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(passed, rejected with rejection_code SKIPPED_DOCUMENT_TYPE); a missing or unknown label passes."""
-    met = docs.join(labels.select("guid", F.lower(F.trim("document_type")).alias("_label")), "guid", "left")
+    met = docs.join(one_each(labels.select("guid", F.lower(F.trim("document_type")).alias("_label"))), "guid", "left")
     skip = F.coalesce(F.col("_label").isin(skip_types()), F.lit(False))
     return met.filter(~skip).drop("_label"), met.filter(skip).withColumn("rejection_code", F.lit("SKIPPED_DOCUMENT_TYPE")).withColumnRenamed("_label", "document_type_found")
 
 
+def classify(docs: DataFrame, classifier: Callable[[Column], Column], chars: int = 2000) -> DataFrame:
+    """(guid, document_type) by a user's classifier, such as a pandas UDF on strings, of each body's start."""
+    return docs.select("guid", classifier(F.substring("body_text", 1, chars)).alias("document_type"))
+
+
 def verdicts_by_source(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("source", "outcome").agg(F.count(F.lit(1)).alias("n"))
 

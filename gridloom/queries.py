@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import pii, text
@@ -22,17 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---- what the queries take as documents, statuses and verdicts -------------------------------------------------------
 
 
+def _block(name: str | Column, key: str, size: int) -> Column:
+    return F.concat_ws("-", name, F.floor(F.col(key) / size).cast("string"))
+
+
 def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A workbook for each nation, a sheet for each market segment, a row for each customer."""
+    """A workbook for each nation and block of 5000 keys, a sheet for each market segment, a row for each customer: with
+    the table the workbooks grow in number, not in size."""
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     rows = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"])
-    return jobs.flatten_table(rows, F.col("n_name"), F.col("c_mktsegment"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
+    return jobs.flatten_table(rows, _block("n_name", "c_custkey", 5000), F.col("c_mktsegment"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
 
 
 def order_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A workbook for each year of orders, a pipe-delimited sheet for each priority."""
+    """A workbook for each month and block of 60,000 order keys, a pipe-delimited sheet for each priority."""
     o = table(spark, sf_dir, "orders")
-    return jobs.flatten_table(o, F.date_format("o_orderdate", "yyyy-MM"), F.col("o_orderpriority"), F.col("o_orderkey"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"], "|")
+    return jobs.flatten_table(o, _block(F.date_format("o_orderdate", "yyyy-MM"), "o_orderkey", 60_000), F.col("o_orderpriority"), F.col("o_orderkey"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"], "|")
 
 
 def status_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +106,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 # ---- sheets, layout, extraction ----------------------------------------------------------------------------------------
 
-CUSTOMERS = "SELECT n_name AS guid, c_mktsegment AS sheet_name, CAST(c_custkey AS BIGINT) AS custkey, c_name AS name, CAST(c_acctbal AS DECIMAL(15,2)) AS acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey"
+CUSTOMERS = "SELECT n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR) AS guid, c_mktsegment AS sheet_name, CAST(c_custkey AS BIGINT) AS custkey, c_name AS name, CAST(c_acctbal AS DECIMAL(15,2)) AS acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey"
 
 
 @query(CUSTOMERS)
@@ -112,7 +117,7 @@ def extract_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("guid", "sheet_name", get("c_custkey").cast("long").alias("custkey"), get("c_name").alias("name"), get("c_acctbal").cast("decimal(15,2)").alias("acctbal"))
 
 
-@query("SELECT strftime(o_orderdate, '%Y-%m') AS guid, o_orderpriority AS sheet_name, CAST(o_orderkey AS BIGINT) AS orderkey, CAST(o_custkey AS BIGINT) AS custkey, o_orderstatus AS orderstatus, CAST(row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m'), o_orderpriority ORDER BY o_orderkey) + 1 AS BIGINT) AS row_number FROM orders")
+@query("SELECT strftime(o_orderdate, '%Y-%m') || '-' || CAST(o_orderkey // 60000 AS VARCHAR) AS guid, o_orderpriority AS sheet_name, CAST(o_orderkey AS BIGINT) AS orderkey, CAST(o_custkey AS BIGINT) AS custkey, o_orderstatus AS orderstatus, CAST(row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') || '-' || CAST(o_orderkey // 60000 AS VARCHAR), o_orderpriority ORDER BY o_orderkey) + 1 AS BIGINT) AS row_number FROM orders")
 def extract_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second shape, pipe-delimited, with the row numbers of the source."""
     rows = jobs.extract(order_books(spark, sf_dir)).rows
@@ -120,7 +125,7 @@ def extract_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("guid", "sheet_name", get("o_orderkey").cast("long").alias("orderkey"), get("o_custkey").cast("long").alias("custkey"), get("o_orderstatus").alias("orderstatus"), "row_number")
 
 
-@query("SELECT n_name AS guid, CAST(dense_rank() OVER (PARTITION BY n_name ORDER BY c_mktsegment) - 1 AS INTEGER) AS sheet_index, c_mktsegment AS sheet_name, CAST(count(*) + 1 AS INTEGER) AS records FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment")
+@query("SELECT n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR) AS guid, CAST(dense_rank() OVER (PARTITION BY n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR) ORDER BY c_mktsegment) - 1 AS INTEGER) AS sheet_index, c_mktsegment AS sheet_name, CAST(count(*) + 1 AS INTEGER) AS records FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR), c_mktsegment")
 def split_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.split_sheets(workbooks(spark, sf_dir)).select("guid", "sheet_index", "sheet_name", F.size("records").alias("records"))
 
@@ -130,13 +135,13 @@ def split_workbooks_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.split_sheets_by_window(workbooks(spark, sf_dir)).select("guid", "sheet_index", "sheet_name", F.size("records").alias("records"))
 
 
-@query("SELECT n_name AS guid, c_mktsegment AS sheet_name, ',' AS delimiter, CASE WHEN count(*) > 1 THEN 'row' ELSE 'row' END AS header_source, 0 AS header_row_index, 3 AS modal_field_count, false AS ragged, 'c_custkey,c_name,c_acctbal' AS header_names FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment")
+@query("SELECT n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR) AS guid, c_mktsegment AS sheet_name, ',' AS delimiter, CASE WHEN count(*) > 1 THEN 'row' ELSE 'row' END AS header_source, 0 AS header_row_index, 3 AS modal_field_count, false AS ragged, 'c_custkey,c_name,c_acctbal' AS header_names FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR), c_mktsegment")
 def sheet_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jobs.look(workbooks(spark, sf_dir))
     return found.select("guid", "sheet_name", "delimiter", "header_source", "header_row_index", "modal_field_count", "ragged", F.array_join("header_names", ",").alias("header_names"))
 
 
-@query("SELECT n_name AS guid, 'complete' AS outcome, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS sheets, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS passed, 0 AS rejected FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+@query("SELECT n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR) AS guid, 'complete' AS outcome, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS sheets, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS passed, 0 AS rejected FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR)")
 def document_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.extract(workbooks(spark, sf_dir), keep=f"{_shared(spark)}/profiles").documents.select("guid", "outcome", "sheets", "passed", "rejected")
 
@@ -226,7 +231,7 @@ def value_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.groupBy("pos", text.value_shape(F.col("v")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT sha AS shape_hash, count(*) AS sheets, count(*) - 1 AS hit_count FROM (SELECT substr(sha256('{\"delimiter\": \",\", \"has_header\": true, \"ragged\": false}'), 1, 16) AS sha FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment) GROUP BY 1")
+@query("SELECT sha AS shape_hash, count(*) AS sheets, count(*) - 1 AS hit_count FROM (SELECT substr(sha256('{\"delimiter\": \",\", \"has_header\": true, \"ragged\": false}'), 1, 16) AS sha FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR), c_mktsegment) GROUP BY 1")
 def shape_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.shape_usage(jobs.look(workbooks(spark, sf_dir)))
 
@@ -557,7 +562,7 @@ def column_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- further operators ---------------------------------------------------------------------------------------------------
 
 
-@query("SELECT n_name AS guid, c_mktsegment AS sheet_name, 'csv' AS format_hint, 0 AS header_guess, CAST(least(count(*) + 1, 60) AS INTEGER) AS sampled FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
+@query("SELECT n_name || '-' || CAST(c_custkey // 5000 AS VARCHAR) AS guid, c_mktsegment AS sheet_name, 'csv' AS format_hint, 0 AS header_guess, CAST(least(count(*) + 1, 60) AS INTEGER) AS sampled FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
 def inspected_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.inspect(workbooks(spark, sf_dir)).select("guid", "sheet_name", "format_hint", "header_guess", "sampled")
 
@@ -582,7 +587,7 @@ def first_writer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert-only merge of the verdicts into themselves plus later ones: the first stays."""
     v = verdict_table(spark, sf_dir).select(F.col("guid").alias("schema_hash"), F.lit(1).alias("created_at"), "status")
     half = v.filter(F.crc32(F.col("schema_hash").cast("binary")) % 2 == 0)
-    later = v.withColumns({"created_at": F.lit(2), "status": F.lit("late")}).filter("schema_hash = '-1'").unionByName(v)
+    later = v.withColumns({"created_at": F.lit(2), "status": F.lit("late")}).unionByName(v)
     return status.merge_first(half, later).select(F.col("schema_hash").alias("guid"), "status")
 
 
@@ -640,13 +645,28 @@ def contested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_map.duplicate_targets(mapping).select("guid", "field", F.array_join("column_names", ",").alias("column_names"))
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS guid, CASE WHEN c_custkey % 3 = 0 THEN 5 ELSE 2 END AS header_score FROM customer WHERE c_custkey % 3 < 2 AND c_custkey % 7 <> 0 ORDER BY 2 DESC, length(c_name) + c_custkey % 11 DESC, 1 LIMIT 50")
+@query(r"""
+    WITH lines AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS guid, c_custkey % 7 = 0 AS is_duplicate, length(c_name) + c_custkey % 11 AS body_length,
+            CASE c_custkey % 4 WHEN 0 THEN 'Full Name,DOB,SSN,IBAN,Mobile,Salary,Street,Employee ID' WHEN 1 THEN 'Nombre;birth date;Passport;e-mail;EMAIL;wage' WHEN 2 THEN 'name,phone,city,emp_id' ELSE 'item' END AS line
+        FROM customer
+    ), scored AS (
+        SELECT *, CAST(regexp_matches(line, '(?i)(name|nombre)') AS INTEGER) + CAST(regexp_matches(line, '(?i)(birth|dob)') AS INTEGER)
+            + CAST(regexp_matches(line, '(?i)(ssn|national.*id|passport|cedula|curp)') AS INTEGER) + CAST(regexp_matches(line, '(?i)(bank|account.*num|iban|swift)') AS INTEGER)
+            + CAST(regexp_matches(line, '(?i)(phone|mobile)') AS INTEGER) + CAST(regexp_matches(line, '(?i)(email)') AS INTEGER)
+            + CAST(regexp_matches(line, '(?i)(salary|pay|wage|compensation)') AS INTEGER) + CAST(regexp_matches(line, '(?i)(address|street|city|postal)') AS INTEGER)
+            + CAST(regexp_matches(line, '(?i)(employee.*id|emp.*id)') AS INTEGER) AS header_score
+        FROM lines WHERE NOT is_duplicate
+    )
+    SELECT guid, header_score FROM scored WHERE header_score >= 4 ORDER BY header_score DESC, body_length DESC, guid LIMIT 50
+""")
 def header_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by how many kinds of personal data their first line names; the limit is the operator."""
     c = table(spark, sf_dir, "customer")
-    line = F.when(F.col("c_custkey") % 3 == 0, "Account,Card,Address,Phone,E-mail").when(F.col("c_custkey") % 3 == 1, "account,card").otherwise("item")
+    k = F.col("c_custkey") % 4
+    line = F.when(k == 0, "Full Name,DOB,SSN,IBAN,Mobile,Salary,Street,Employee ID").when(k == 1, "Nombre;birth date;Passport;e-mail;EMAIL;wage").when(k == 2, "name,phone,city,emp_id").otherwise("item")
     docs = c.select(F.col("c_custkey").cast("string").alias("guid"), F.concat(line, F.lit("\n"), "c_name").alias("body_text"), (F.length("c_name") + F.col("c_custkey") % 11).alias("body_length"), (F.col("c_custkey") % 7 == 0).alias("is_duplicate"))
-    return readers.rank_by_header(docs, min_score=2, n=50).select("guid", "header_score")
+    return readers.rank_by_header(docs, min_score=4, n=50).select("guid", "header_score")
 
 
 @query("SELECT CAST(c_nationkey AS VARCHAR) AS guid, CAST(c_custkey AS BIGINT) AS row_number, c_name AS name FROM customer")
@@ -666,14 +686,14 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("guid string, row_number long, source string, dt string, run string").json(path).groupBy("guid").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT c_mktsegment AS guid, n_name AS sheet_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
+@query("SELECT c_mktsegment || '-' || CAST(c_custkey // 5000 AS VARCHAR) AS guid, n_name AS sheet_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
 def drained_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workbooks drained by a stream give the rows of a batch run."""
     from gridloom.streaming import drain
 
     home = _shared(spark)
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    books = jobs.flatten_table(c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]), F.col("c_mktsegment"), F.col("n_name"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
+    books = jobs.flatten_table(c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]), _block("c_mktsegment", "c_custkey", 5000), F.col("n_name"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
     books.select("guid", "body_text").write.parquet(f"{home}/in")
 
     def work(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -681,8 +701,8 @@ def drained_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return done.rows, done.documents.select("guid", F.col("outcome").alias("status"))
 
     stream = drain.document_stream(spark, f"{home}/in", "guid string, body_text string", files=4)
-    drain.drain(stream, work, f"{home}/out", f"{home}/verdicts", f"{home}/progress", buckets=8).awaitTermination()
-    return sinks.read_extraction(spark, f"{home}/out").groupBy("guid", "sheet_name").agg(F.count(F.lit(1)).alias("n"))
+    drain.drain(stream, work, f"{home}/out", f"{home}/verdicts", f"{home}/progress").awaitTermination()
+    return sinks.read_batches(spark, f"{home}/out").groupBy("guid", "sheet_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _shared(spark: SparkSession) -> str:

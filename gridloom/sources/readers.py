@@ -8,8 +8,18 @@ from pyspark.sql import functions as F
 from gridloom.functions.text import ROW_SEPARATOR  # noqa: F401  part of the reader's vocabulary
 
 METRICS_SCHEMA = "ts timestamp, guid string, source string, batch_id int, stage string, seconds double, rows long, success boolean"
-#: Words whose presence in a first line suggests personal data; each is one point.
-HEADER_FLAGS = ["ssn|social", "birth|dob", "passport", "licen[cs]e", "account", "card", "address", "phone|mobile", "e-?mail"]
+# Words whose presence in a first line suggests personal data, in any case; each is one point.
+HEADER_FLAGS = [
+    "name|nombre",
+    "birth|dob",
+    "ssn|national.*id|passport|cedula|curp",
+    "bank|account.*num|iban|swift",
+    "phone|mobile",
+    "email",
+    "salary|pay|wage|compensation",
+    "address|street|city|postal",
+    "employee.*id|emp.*id",
+]
 
 
 def scan_population(source: DataFrame, category: str | None = None, limit: int | None = None) -> DataFrame:
@@ -54,10 +64,12 @@ def documents_from_column(df: DataFrame, id_col: str, text_col: str) -> DataFram
 
 
 def rank_by_header(source: DataFrame, min_score: int = 5, n: int = 50) -> DataFrame:
-    """The ``n`` documents whose first line names most kinds of personal data, longest first among equals."""
-    line = F.lower(F.coalesce(F.try_element_at(F.split("body_text", "\n"), F.lit(1)), F.lit("")))
-    score = sum((line.rlike(p).cast("int") for p in HEADER_FLAGS[1:]), line.rlike(HEADER_FLAGS[0]).cast("int"))
-    rows = source.filter(~F.coalesce("is_duplicate", F.lit(False))).withColumn("header_score", score).filter(F.col("header_score") >= min_score)
+    """The ``n`` documents, known to be no duplicates, whose first line names most kinds of personal data, longest first
+    among equals."""
+    line = F.coalesce(F.substring_index("body_text", "\n", 1), F.lit(""))
+    one, *more = [line.rlike(f"(?i)(?:{p})").cast("int") for p in HEADER_FLAGS]
+    score = sum(more, one)
+    rows = source.filter(~F.col("is_duplicate")).withColumn("header_score", score).filter(F.col("header_score") >= min_score)
     return rows.orderBy(F.desc("header_score"), F.desc("body_length"), "guid").limit(n)
 
 

@@ -21,40 +21,55 @@ def bucket_of(guid: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(guid), F.lit(buckets)).cast("int")
 
 
-def write_extractions(rows: DataFrame, path: str, layout: str = "bucket", buckets: int = 64) -> None:
+def write_extractions(rows: DataFrame, path: str, layout: str = "bucket", buckets: int = 64, files: int = 1) -> None:
     """Parquet at a fixed place, so a re-run replaces a document's rows.
 
     ``per_guid`` has a folder for each document and suits small sets. ``bucket`` has a folder for each hash bucket of
-    guids: buckets that ``rows`` touches are rewritten with the rows of their other documents carried over.
+    guids: buckets that ``rows`` touches are rewritten with the rows of their other documents carried over. The folder
+    names hold the number of buckets, so readers need not know it, and later writers go on with it; choose it, and
+    ``files`` in a bucket, so that a file has some hundred MB. For a stream of small batches see ``write_batch``.
     """
     spark = rows.sparkSession
     if layout == "per_guid":
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("guid").parquet(path)
         return
-    new = rows.withColumn("bucket", bucket_of("guid", buckets))
-    if _exists(spark, path):
+    there = _exists(spark, path)
+    buckets = spark.read.parquet(path).select("buckets").first()[0] if there else buckets
+    new = rows.withColumn("buckets", F.lit(buckets)).withColumn("bucket", bucket_of("guid", buckets))
+    if there:
         touched = new.select("bucket").distinct()
         old = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi").join(rows.select("guid").distinct(), "guid", "left_anti")
         new = new.unionByName(old.select(*new.columns), allowMissingColumns=True)
         hold = f"{path.rstrip('/')}_rewrite_{uuid.uuid4().hex}"
         new.write.parquet(hold)  # a folder is never read and overwritten in one job
         new = spark.read.parquet(hold)
-    new.repartition("bucket").sortWithinPartitions("bucket", "guid").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    dealt = new.repartition("bucket", F.pmod(F.xxhash64("guid", F.lit("file")), F.lit(files)))
+    dealt.sortWithinPartitions("bucket", "guid").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(path)
 
 
-def read_extraction(spark: SparkSession, path: str, guid: str | None = None, sheet: int | None = None, buckets: int = 64) -> DataFrame:
+def read_extraction(spark: SparkSession, path: str, guid: str | None = None, sheet: int | None = None) -> DataFrame:
     """What ``write_extractions`` wrote; for one guid only its bucket is read."""
     rows = spark.read.parquet(path)
     if guid is not None:
-        if "bucket" in rows.columns:
-            bucket = spark.range(1).select(bucket_of_literal(guid, buckets)).first()[0]
-            rows = rows.filter(F.col("bucket") == bucket)
-        rows = rows.filter(F.col("guid") == guid)
+        rows = (rows.filter(_in_bucket(guid)) if "bucket" in rows.columns else rows).filter(F.col("guid") == guid)
     return rows if sheet is None else rows.filter(F.col("sheet_index") == sheet)
 
 
-def bucket_of_literal(guid: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(guid)), F.lit(buckets)).cast("int")
+def _in_bucket(guid: str) -> Column:
+    """Whether a folder is the guid's; it reads the folders' names only."""
+    return F.col("bucket") == F.pmod(F.xxhash64(F.lit(guid)), F.col("buckets")).cast("int")
+
+
+def write_batch(rows: DataFrame, path: str, number: int) -> None:
+    """One batch of a stream in a folder of its own: a repeated batch replaces itself, and no other is touched."""
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number:09d}")
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Of each guid the rows of the last batch that had it. The map of guids to batches reads one column."""
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("guid").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["guid", "batch"], "left_semi").drop("batch")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -66,14 +81,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def delete_document(spark: SparkSession, path: str, guid: str, buckets: int = 64) -> None:
+def delete_document(spark: SparkSession, path: str, guid: str) -> None:
     """Rewrite the guid's bucket without it."""
-    bucket = spark.range(1).select(bucket_of_literal(guid, buckets)).first()[0]
-    kept = spark.read.parquet(path).filter((F.col("bucket") == bucket) & (F.col("guid") != guid))
+    mine = spark.read.parquet(path).filter(_in_bucket(guid))
+    place = mine.select("buckets", "bucket").first()
+    if place is None:
+        return
     hold = f"{path.rstrip('/')}_rewrite_{uuid.uuid4().hex}"
-    kept.write.parquet(hold)
-    target = f"{path.rstrip('/')}/bucket={bucket}"
-    spark.read.parquet(hold).drop("bucket").write.mode("overwrite").parquet(target)
+    mine.filter(F.col("guid") != guid).drop("buckets", "bucket").write.parquet(hold)
+    spark.read.parquet(hold).write.mode("overwrite").parquet(f"{path.rstrip('/')}/buckets={place[0]}/bucket={place[1]}")
 
 
 def ordered_columns(rows: DataFrame) -> DataFrame:
@@ -139,8 +155,14 @@ def manifest(rows: DataFrame, version: str, extracted_at: Column) -> DataFrame:
     return counts.join(names, ["guid", "sheet_index"], "left").withColumns({"version": F.lit(version), "extracted_at": extracted_at})
 
 
+def files_written(spark: SparkSession, path: str) -> DataFrame:
+    """(files, bytes) of the Parquet files below a folder; their contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return found.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
 def write_summary(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(documents, empty_documents, sheets, rows)."""
+    """(documents, empty_documents, sheets, rows); ``files_written`` has the files and bytes."""
     got = rows.groupBy("guid").agg(F.count_distinct("sheet_index").alias("s"), F.count(F.lit(1)).alias("r"))
     met = docs.select("guid").distinct().join(got, "guid", "left")
     return met.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("r").isNull()).alias("empty_documents"), F.coalesce(F.sum("s"), F.lit(0)).alias("sheets"), F.coalesce(F.sum("r"), F.lit(0)).alias("rows"))

@@ -9,22 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.operators.status import backlog, count_pending, latest_verdict, merge_first, merge_verdicts
-from gridloom.sources.sinks import write_extractions
+from gridloom.sources.sinks import _exists, write_batch
 
 Extract = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def drain(stream: DataFrame, extract: Extract, path: str, verdict_path: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+def drain(stream: DataFrame, extract: Extract, path: str, verdict_path: str, checkpoint: str) -> StreamingQuery:
     """Extract each micro-batch of a document stream: rows first, verdicts after.
 
-    A crash between the two repeats the batch, whose rows replace themselves and whose verdicts go to the folder of
-    their batch, so nothing is ever there twice. Runs over what is there and stops.
+    Both go to the folder of their batch. A crash between the two repeats the batch, which replaces itself, so nothing
+    is ever there twice, and what a batch costs does not grow with those before; ``sinks.read_batches`` reads the rows.
+    Runs over what is there and stops.
     """
 
     def batch(docs: DataFrame, number: int) -> None:
         rows, verdicts = extract(docs)
-        write_extractions(rows, path, buckets=buckets)
-        verdicts.write.mode("overwrite").parquet(f"{verdict_path.rstrip('/')}/batch={number}")
+        write_batch(rows, path, number)
+        write_batch(verdicts, verdict_path, number)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -44,24 +45,33 @@ def resume_backlog(source: DataFrame, verdicts: DataFrame, statuses: list[str],
 
 
 def flush_verdicts(stream: DataFrame, status_path: str, checkpoint: str) -> StreamingQuery:
-    """Merge new verdicts into the status table, the last of each guid in a batch; each batch writes a new version of
-    the table (``v=<batch>``) from the one before. Only verdicts that a batch has merged are marked as read."""
+    """Add new verdicts to a status table, the last of each guid in a batch.
+
+    The table is a ``base`` and a ``log`` with a folder for each batch, so a batch writes its own verdicts only, and a
+    repeated one replaces itself. Only verdicts that a batch has written are marked as read.
+    """
 
     def batch(verdicts: DataFrame, number: int) -> None:
-        spark = verdicts.sparkSession
-        status = read_status(spark, status_path, before=number)
-        merged = merge_verdicts(status, latest_verdict(verdicts).drop("staged_at"))
-        merged.write.mode("overwrite").parquet(f"{status_path.rstrip('/')}/v={number:09d}")
+        write_batch(latest_verdict(verdicts), f"{status_path.rstrip('/')}/log", number)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_status(spark: SparkSession, status_path: str, before: int | None = None) -> DataFrame:
-    """The newest version of a status table; ``v=-1`` is the one that flushing starts from."""
-    rows = spark.read.parquet(status_path)
-    versions = rows.select("v").distinct()
-    newest = (versions if before is None else versions.filter(F.col("v") < before)).agg(F.max("v")).first()[0]
-    return rows.filter(F.col("v") == newest).drop("v")
+def read_status(spark: SparkSession, status_path: str) -> DataFrame:
+    """The base of a status table with what its log says last of each guid."""
+    root = status_path.rstrip("/")
+    base = spark.read.parquet(f"{root}/base")
+    if not _exists(spark, f"{root}/log"):
+        return base
+    log = spark.read.parquet(f"{root}/log")
+    rest = [c for c in log.columns if c not in ("guid", "batch")]
+    last = log.groupBy("guid").agg(F.max(F.struct("batch", *rest)).alias("v")).select("guid", *[F.col("v")[c].alias(c) for c in rest if c != "staged_at"])
+    return merge_verdicts(base, last)
+
+
+def compact_status(spark: SparkSession, status_path: str, to: str) -> None:
+    """A new status table at ``to``, whose base is the old one with its log merged in."""
+    read_status(spark, status_path).write.parquet(f"{to.rstrip('/')}/base")
 
 
 def sync_shapes(shared: DataFrame, local: DataFrame) -> tuple[DataFrame, DataFrame]:
