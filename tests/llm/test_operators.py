@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from html import unescape
 
 import numpy as np
 import public_tokenizers
@@ -433,6 +434,53 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {got[200 + i] for i in range(4)} == {" ".join(f"w99y{k}" for k in range(30)) + " quoted by copies"}
 
 
+def test_slots_decide_without_names(spark):
+    """With the sections' tags and names replaced by ones that say nothing, and in any partitioning, the texts are the same."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+
+    def plain(html):
+        for tag, name in (("nav", "qa"), ("article", "qc"), ("footer", "qd")):
+            html = html.replace(f"<{tag}>", f'<div class="{name}">').replace(f"</{tag}>", "</div>")
+        return html.replace('class="ad"', 'class="qb"')
+
+    many = pages.withColumn("host", html_text.host_of("url"))
+    many = many.join(many.groupBy("host").count().filter("count >= 8"), "host", "left_semi").select("page_id", "url", "html")
+    neutral = spark.createDataFrame([(r.page_id, r.url, plain(r.html)) for r in many.collect()], "page_id long, url string, html string")
+    want = {r.page_id: r.text for r in html_text.main_texts(pages.repartition(7)).collect()}
+    got = {r.page_id: r.text for r in html_text.main_texts(neutral.repartition(3)).collect()}
+    assert len(got) >= 40 and got == {k: want[k] for k in got}
+
+    def brute(html):  # the article's own text, by what these pages are known to look like
+        inner = re.search(r"<article>(.*?)(?:</article>|<footer>)", html, re.S)[1]
+        return " ".join(unescape(re.sub(r"<(?:p|/p|h1|/h1|br)>", " ", inner).replace("<b>", "").replace("</b>", "")).split())
+
+    assert want == {r.page_id: brute(r.html) for r in pages.collect()}
+
+
+def test_alignment_is_longest(monkeypatch):
+    random.seed(6)
+    for bound in (html_text.TABLE_BYTES, 4):  # whole, and cut in halves again and again
+        monkeypatch.setattr(html_text, "TABLE_BYTES", bound)
+        for _ in range(200):
+            a, b = ([random.choice("abcd") for _ in range(random.randint(0, 25))] for _ in range(2))
+            best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+            pairs = html_text.common(a, b)
+            assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+    monkeypatch.undo()
+    assert len(html_text.common(["x", "y"] * 10_000, ["y", "z", "x"] * 7_000)) >= 7_000
+
+
+def test_menus_and_shared_lines_of_the_main_part(spark):
+    body = lambda i: f"<div class=aa><p>{' '.join(f'w{i}y{k}' for k in range(40))}</p><ul><li><a href=x>go {i}</a></li><li><a href=y>on {i}</a></li></ul><b>Same line</b></div>"
+    rows = [(i, "http://h.example/a", page(f"<div class=bb>short {i}</div>{body(i)}")) for i in range(10)]
+    got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got == {i: " ".join(f"w{i}y{k}" for k in range(40)) for i in range(10)}
+
+
 def test_wrapper_rules():
     item = lambda h: html_text.item_of(html_text.parse(h))
     w = html_text.merge(item("<ul><li>a<li>b</ul><p>x"), item("<ul><li>a</ul><h2>t</h2><p>y<p>z"))
