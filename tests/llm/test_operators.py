@@ -528,6 +528,31 @@ def test_forward_backward_is_exact():
         at += n
 
 
+def test_long_texts_in_parts(monkeypatch):
+    """Texts cut in parts get the marginals that they get whole, and a million lines take bounded memory and time."""
+    import time
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    field = quality.LineField(3 * quality.N_LINE)
+    field.moves, field.weights, field.bias = rng.normal(size=(2, 2)), rng.normal(size=3 * quality.N_LINE) * 0.3, 0.1
+    texts = ["\n".join("x" * int(n) for n in rng.integers(0, 9, k)) for k in (1, 5, 700, 33, 64, 65, 129)]
+    own, _, counts = quality.line_features(texts)
+    z = np.clip((quality.with_neighbours(own, counts) - field.mean) / field.scale, -8, 8)
+    score = np.clip(z @ field.weights + field.bias, -25, 25)
+    assert np.allclose(field.emissions(own, counts), score)
+    whole = field.forward_backward(score, counts)[0]
+    for steps in (7, 64):
+        monkeypatch.setattr(quality, "STEPS", steps)
+        assert np.allclose(field.marginals(score, counts), whole)
+    monkeypatch.undo()
+    began = time.process_time()
+    tracemalloc.start()
+    assert 0 <= field.scores(["a\n" * 1_000_000])[0] <= 1
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20 and time.process_time() - began < 60
+    tracemalloc.stop()
+
+
 # ---- pipeline
 
 
