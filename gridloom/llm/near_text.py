@@ -75,21 +75,16 @@ def sketched(docs: DataFrame, words: int = 5, text_col: str = "text") -> DataFra
     return docs.withColumn("_s", sketch(F.col(text_col))).select(*docs.columns, F.col("_s.set").alias("_set"), F.col("_s.size").alias("_size"), F.col("_s.bits").alias("_bits"))
 
 
-def _segment(n: int) -> Column:
-    """The segment's number above its bits."""
-    word, shift = n * WIDTH // 64, n * WIDTH % 64
-    return F.shiftrightunsigned(F.col("bits")[word], shift).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int").bitwiseOR(F.lit(n << WIDTH))
-
-
 def segments(sets: DataFrame) -> DataFrame:
-    """``sets`` with a row for each segment: ``part``."""
-    return sets.filter(F.size("bits") > 0).select("*", F.explode(F.array(*[_segment(n) for n in range(SEGMENTS)])).alias("part"))
+    """``sets`` with a row for each segment: ``part``, its bits below its number."""
+    of = lambda n: F.shiftrightunsigned(F.col("bits")[n * WIDTH // 64], n * WIDTH % 64).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int").bitwiseOR(F.lit(n << WIDTH))
+    return sets.filter(F.size("bits") > 0).select("*", F.explode(F.array(*map(of, range(SEGMENTS)))).alias("part"))
 
 
-def variants(sets: DataFrame) -> DataFrame:
-    """``sets`` with a row for each segment and wildcard: ``part``, the segment without one bit, below both numbers."""
-    wild = [_segment(n).bitwiseAND(F.lit(~(1 << b))).bitwiseOR(F.lit(b << 24)) for n in range(SEGMENTS) for b in range(WIDTH)]
-    return sets.filter(F.size("bits") > 0).select("*", F.explode(F.array(*wild)).alias("part"))
+def variants(parts: DataFrame) -> DataFrame:
+    """``segments`` with a row for each wildcard: ``part`` without one bit, below that bit's number."""
+    wild = F.explode(F.array(*[F.struct(F.lit(~(1 << b)).alias("keep"), F.lit(b << 24).alias("at")) for b in range(WIDTH)]))
+    return parts.select("*", wild.alias("_wild")).withColumn("part", F.col("part").bitwiseAND(F.col("_wild.keep")).bitwiseOR(F.col("_wild.at"))).drop("_wild")
 
 
 def verified(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, similarity: float, words: int, text_col: str) -> DataFrame:
@@ -132,13 +127,12 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
         .select("fp", "size", "bits", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).cast("int").alias("members")),
         "first_components",
     )
-    keyed = variants(spread(known, 8192)).select("part", "fp", "c", "members", F.col("size").cast("int").alias("size"), F.col("bits")[0].alias("bit"))
-    largest = F.max(F.struct("members", "c")).over(Window.partitionBy("part"))
-    probes = keyed.withColumn("largest", largest["c"]).filter("c <> largest").drop("largest").select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
+    component = F.struct("members", "c").alias("in")
+    keyed = variants(segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), F.col("bits")[0].alias("bit")))
+    # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
+    probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
     bucket = keyed.select([F.col(c).alias(f"{c}_b") for c in keyed.columns])
-    # A pair is met from the side of the smaller component, or from either.
-    from_smaller = F.struct("members_a", "c_a") < F.struct("members_b", "c_b")
-    wanted = (F.col("part_a") == F.col("part_b")) & from_smaller & near(F.col("bit_a"), F.col("bit_b")) & of_size(F.col("size_a"), F.col("size_b"))
+    wanted = (F.col("part_a") == F.col("part_b")) & (F.col("in_a") < F.col("in_b")) & near(F.col("bit_a"), F.col("bit_b")) & of_size(F.col("size_a"), F.col("size_b"))
     # Merge hints: the optimizer takes exploded variants for as small as their source and would broadcast them.
     pairs = probes.hint("merge").join(bucket.hint("merge"), wanted).select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct()
     links = staged(verified(staged(pairs, "further_pairs"), distinct, marked, similarity, words, text_col), "further_links")

@@ -76,12 +76,8 @@ def _mask(segment: tuple[int, int]) -> int:
 
 def signatures(fps: DataFrame, distance: int) -> DataFrame:
     """``fps`` with one row for each signature: ``wild`` (the bit put out) and ``part`` (what is left of its segment)."""
-    variants = F.array(*[
-        F.struct(F.lit(_signed(1 << b)).alias("wild"), F.col("fp").bitwiseAND(F.lit(_signed(_mask(s) & ~(1 << b)))).alias("part"))
-        for s in segments(distance)
-        for b in range(s[0], s[0] + s[1])
-    ])
-    return fps.select("*", F.inline(variants))
+    wild = F.array(*[F.struct(F.lit(_signed(1 << b)).alias("wild"), F.lit(_signed(_mask(s) & ~(1 << b))).alias("keep")) for s in segments(distance) for b in range(s[0], s[0] + s[1])])
+    return fps.select("*", F.inline(wild)).withColumn("part", F.col("fp").bitwiseAND(F.col("keep"))).drop("keep")
 
 
 def first_wild(diff: Column, distance: int) -> Column:
@@ -110,15 +106,15 @@ def linked_components(distinct: DataFrame, distance: int = 4) -> DataFrame:
         .select("fp", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).alias("members")),
         "first_components",
     )
-    keyed = signatures(spread(known, 16384), distance)
-    largest = F.max(F.struct("members", "c")).over(Window.partitionBy("wild", "part"))
-    probes = keyed.withColumn("largest", largest["c"]).filter("c <> largest").select("wild", "part", F.col("fp").alias("fp_a"), F.col("c").alias("c_a"))
-    bucket = keyed.select(F.col("wild").alias("wild_b"), F.col("part").alias("part_b"), F.col("fp").alias("fp_b"), F.col("c").alias("c_b"))
+    keyed = signatures(spread(known.select("fp", F.struct("members", "c").alias("in")), 16384), distance)
+    # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
+    probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("wild", "part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
+    bucket = keyed.select([F.col(c).alias(f"{c}_b") for c in keyed.columns])
     diff = F.col("fp_a").bitwiseXOR(F.col("fp_b"))
-    same = (F.col("wild") == F.col("wild_b")) & (F.col("part") == F.col("part_b"))
+    same = (F.col("wild_a") == F.col("wild_b")) & (F.col("part_a") == F.col("part_b")) & (F.col("in_a") < F.col("in_b"))
     # Merge hints: the optimizer takes exploded signatures for as small as their source and would broadcast them.
-    pairs = probes.hint("merge").join(bucket.hint("merge"), same & (F.col("c_a") != F.col("c_b")) & (F.bit_count(diff) <= distance) & (first_wild(diff, distance) == F.col("wild")))
-    between = staged(pairs.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct(), "further_links")
+    pairs = probes.hint("merge").join(bucket.hint("merge"), same & (F.bit_count(diff) <= distance) & (first_wild(diff, distance) == F.col("wild_a")))
+    between = staged(pairs.select(F.least("in_a.c", "in_b.c").alias("a"), F.greatest("in_a.c", "in_b.c").alias("b")).distinct(), "further_links")
     second = connected_components(between).select(F.col("node").alias("c"), F.col("component").alias("final"))
     return known.join(second, "c", "left").select("fp", F.coalesce("final", "c").alias("component"))
 
