@@ -128,13 +128,14 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
         "first_components",
     )
     component = F.struct("members", "c").alias("in")
+    whole = lambda c: F.coalesce(c, F.lit(0))  # noqa: E731  no column is null, so neither side gets a filter that the other lacks
     keyed = variants(segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), F.col("bits")[0].alias("bit")))
+    keyed = keyed.select(whole(F.col("part")).alias("part"), whole(F.col("fp")).alias("fp"), "in", whole(F.col("size")).alias("size"), whole(F.col("bit")).alias("bit"))
     # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
     probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
-    bucket = keyed.select([F.col(c).alias(f"{c}_b") for c in keyed.columns])
-    wanted = (F.col("part_a") == F.col("part_b")) & (F.col("in_a") < F.col("in_b")) & near(F.col("bit_a"), F.col("bit_b")) & of_size(F.col("size_a"), F.col("size_b"))
+    wanted = (F.col("part_a") == F.col("part")) & (F.col("in_a") < F.col("in")) & near(F.col("bit_a"), F.col("bit")) & of_size(F.col("size_a"), F.col("size"))
     # Merge hints: the optimizer takes exploded variants for as small as their source and would broadcast them.
-    pairs = probes.hint("merge").join(bucket.hint("merge"), wanted).select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct()
+    pairs = probes.hint("merge").join(keyed.hint("merge"), wanted).select(F.least("fp_a", "fp").alias("a"), F.greatest("fp_a", "fp").alias("b")).distinct()
     links = staged(verified(staged(pairs, "further_pairs"), distinct, marked, similarity, words, text_col), "further_links")
     of = lambda c: known.select(F.col("fp").alias(c), F.col("c").alias(f"c_{c}"))
     between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()

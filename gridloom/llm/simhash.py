@@ -106,15 +106,16 @@ def linked_components(distinct: DataFrame, distance: int = 4) -> DataFrame:
         .select("fp", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).alias("members")),
         "first_components",
     )
-    keyed = signatures(spread(known.select("fp", F.struct("members", "c").alias("in")), 16384), distance)
+    # No column is null, so neither side of the join gets a filter that the other lacks.
+    keyed = signatures(spread(known.select(F.coalesce("fp", F.lit(0)).alias("fp"), F.struct("members", "c").alias("in")), 16384), distance)
+    keyed = keyed.select(F.coalesce("wild", F.lit(0)).alias("wild"), F.coalesce("part", F.lit(0)).alias("part"), "fp", "in")
     # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
     probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("wild", "part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
-    bucket = keyed.select([F.col(c).alias(f"{c}_b") for c in keyed.columns])
-    diff = F.col("fp_a").bitwiseXOR(F.col("fp_b"))
-    same = (F.col("wild_a") == F.col("wild_b")) & (F.col("part_a") == F.col("part_b")) & (F.col("in_a") < F.col("in_b"))
+    diff = F.col("fp_a").bitwiseXOR(F.col("fp"))
+    same = (F.col("wild_a") == F.col("wild")) & (F.col("part_a") == F.col("part")) & (F.col("in_a") < F.col("in"))
     # Merge hints: the optimizer takes exploded signatures for as small as their source and would broadcast them.
-    pairs = probes.hint("merge").join(bucket.hint("merge"), same & (F.bit_count(diff) <= distance) & (first_wild(diff, distance) == F.col("wild_a")))
-    between = staged(pairs.select(F.least("in_a.c", "in_b.c").alias("a"), F.greatest("in_a.c", "in_b.c").alias("b")).distinct(), "further_links")
+    pairs = probes.hint("merge").join(keyed.hint("merge"), same & (F.bit_count(diff) <= distance) & (first_wild(diff, distance) == F.col("wild_a")))
+    between = staged(pairs.select(F.least("in_a.c", "in.c").alias("a"), F.greatest("in_a.c", "in.c").alias("b")).distinct(), "further_links")
     second = connected_components(between).select(F.col("node").alias("c"), F.col("component").alias("final"))
     return known.join(second, "c", "left").select("fp", F.coalesce("final", "c").alias("component"))
 
