@@ -1,4 +1,10 @@
-"""A corpus pipeline: reject low quality, drop exact copies, keep one of each group of near copies, pack the rest."""
+"""A corpus pipeline: reject low quality, drop exact copies, keep one of each group of near copies, pack the rest.
+
+Defined results: a null text counts as empty and is scored, compared and packed like one; rows with a null id, or with
+one id and different texts, stay apart and each goes on; repeated rows are exact copies, of which one stays; of tied
+rows one stays, the one with the smallest id; without labels every score is 0.5, so all documents stay; an empty table
+gives an empty result; further columns of documents are carried to the last stage, which returns pieces only.
+"""
 
 from __future__ import annotations
 
