@@ -87,56 +87,90 @@ def variants(parts: DataFrame) -> DataFrame:
     return parts.select("*", wild.alias("_wild")).withColumn("part", F.col("part").bitwiseAND(F.col("_wild.keep")).bitwiseOR(F.col("_wild.at"))).drop("_wild")
 
 
-def verified(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, similarity: float, words: int, text_col: str) -> DataFrame:
-    """Of ``pairs`` (a, b: sets) those whose bits and then texts are similar enough. Only their texts are shuffled."""
+def close_pairs(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Of ``pairs`` (a, b: sets) those that differ in few enough of all bits."""
     bits = lambda c: distinct.select(F.col("fp").alias(c), F.col("bits").alias(f"_{c}"))
     apart = F.aggregate(F.zip_with("_a", "_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    close = staged(pairs.join(bits("a"), "a").join(bits("b"), "b").filter(apart <= MOST_ALL).select("a", "b"), "close_pairs")
-    wanted = close.select(F.col("a").alias("fp")).union(close.select("b")).distinct()
+    return staged(pairs.join(bits("a"), "a").join(bits("b"), "b").filter(apart <= MOST_ALL).select("a", "b"), "close_pairs")
+
+
+def texts_of(pairs: DataFrame, marked: DataFrame, text_col: str) -> DataFrame:
+    """(fp, text) for the sets of ``pairs``. Only their texts are shuffled."""
+    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
     rows = marked.select(F.col("_set").alias("fp"), F.col(text_col).alias("text"))
-    texts = staged(rows.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("text").alias("text")), "candidate_texts")
+    return staged(rows.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("text").alias("text")), "candidate_texts")
+
+
+def similar_pairs(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Of ``pairs`` those whose texts are similar enough."""
 
     @F.pandas_udf(T.BooleanType())
     def near(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([similar(shingle_set(x, words), shingle_set(y, words), similarity) for x, y in zip(a, b)], dtype=bool)
 
     side = lambda c: texts.select(F.col("fp").alias(c), F.col("text").alias(f"_{c}"))
-    return close.join(side("a"), "a").join(side("b"), "b").filter(near("_a", "_b")).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(near("_a", "_b")).select("a", "b")
+
+
+def lone_shingles(texts: DataFrame, words: int) -> DataFrame:
+    """(fp, lone) for every set of ``texts``: how many of its shingles none of the other sets has."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def hashed(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, words).view("<i8") for t in texts], dtype=object)
+
+    owners = texts.select("fp", F.explode(hashed("text")).alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("fp").alias("fp"))
+    lone = owners.filter("sets = 1").groupBy("fp").agg(F.count(F.lit(1)).cast("int").alias("lone"))
+    return staged(texts.select("fp").join(lone, "fp", "left").select("fp", F.coalesce("lone", F.lit(0)).alias("lone")), "lone_shingles")
 
 
 def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float, words: int, text_col: str = "text") -> DataFrame:
     """(fp, component): components of the graph that links sets of ``similarity`` or more.
 
-    ``distinct`` (fp, size, bits) holds each set once. Two rounds keep the number of texts that are compared linear
-    where a bucket is large. In the first, each set is compared with one other: of its predecessors, in bit order,
-    among sets with a whole segment in common, that which it meets most often. The second joins all variants, but only
-    pairs from different components so far; of these one side lies outside the bucket's largest component.
+    ``distinct`` (fp, size, bits) holds each set once. Three rounds keep the number of texts that are compared linear
+    where many texts are edits of one. In the first, each set is compared with one other: of its predecessors, in bit
+    order, among sets with a whole segment in common, that which it meets most often. The sets that are close to
+    theirs are candidates for large groups; their shingles are counted. In the second, each of them is compared with
+    the set of its buckets that has the smallest share of shingles of its own, which is the text that the others edit.
+    The third joins all variants, but only pairs from different components so far; of these one side lies outside the
+    bucket's largest component. Of two counted sets neither can share a shingle of its own, which bounds what they have
+    in common: a pair whose bound is below ``similarity`` has no link and is no candidate.
     """
-    sets = spread(distinct.select("fp", "size", "bits"), 8192)
-    order = Window.partitionBy("part").orderBy("bit", "fp")
-    keyed = segments(sets).select("fp", "size", F.col("bits")[0].alias("bit"), "part")
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= MOST_FIRST
     of_size = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y)
-    met = keyed.select("fp", "size", "bit", F.lag(F.struct("fp", "size", "bit")).over(order).alias("o"))
-    met = met.filter(near(F.col("bit"), F.col("o.bit")) & of_size(F.col("size"), F.col("o.size"))).select("fp", F.col("o.fp").alias("other"))
-    best = met.groupBy("fp", "other").count().groupBy("fp").agg(F.max(F.struct("count", "other"))["other"].alias("a"))
-    first = connected_components(staged(verified(best.select("a", F.col("fp").alias("b")), distinct, marked, similarity, words, text_col), "near_links"))
-    counted = first.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+
+    def met_most(met: DataFrame) -> DataFrame:
+        """Of the sets that one meets (fp, o: size, bit, fp) the close one that it meets most often, as a pair."""
+        met = met.filter(near(F.col("bit"), F.col("o.bit")) & of_size(F.col("size"), F.col("o.size")) & (F.col("fp") != F.col("o.fp"))).select("fp", F.col("o.fp").alias("other"))
+        best = met.groupBy("fp", "other").count().groupBy("fp").agg(F.max(F.struct("count", "other"))["other"].alias("a"))
+        return close_pairs(best.select("a", F.col("fp").alias("b")), distinct)
+
+    keyed = segments(spread(distinct.select("fp", "size", "bits"), 8192)).select("fp", "size", F.col("bits")[0].alias("bit"), "part")
+    before = met_most(keyed.withColumn("o", F.lag(F.struct("fp", "size", "bit")).over(Window.partitionBy("part").orderBy("bit", "fp"))))
+    texts = texts_of(before, marked, text_col)
+    lone = lone_shingles(texts, words)
+    counted = variants(segments(spread(distinct.select("fp", "size", "bits").join(lone, "fp"), 8192)).select("part", "fp", "size", F.col("bits")[0].alias("bit"), (-F.col("lone") / F.col("size")).alias("shared")))
+    hubs = met_most(counted.withColumn("o", F.max(F.struct("shared", "size", "fp", "bit")).over(Window.partitionBy("part"))))
+    first = connected_components(staged(similar_pairs(before.union(hubs).distinct(), texts, similarity, words), "near_links"))
+    sizes = first.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     known = staged(
-        distinct.join(first.withColumnRenamed("node", "fp").join(counted, "component"), "fp", "left")
-        .select("fp", "size", "bits", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).cast("int").alias("members")),
+        distinct.join(first.withColumnRenamed("node", "fp").join(sizes, "component"), "fp", "left").join(lone, "fp", "left")
+        .select("fp", "size", "bits", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).cast("int").alias("members"), F.coalesce("lone", F.lit(-1)).alias("lone")),
         "first_components",
     )
     component = F.struct("members", "c").alias("in")
     whole = lambda c: F.coalesce(c, F.lit(0))  # noqa: E731  no column is null, so neither side gets a filter that the other lacks
-    keyed = variants(segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), F.col("bits")[0].alias("bit")))
-    keyed = keyed.select(whole(F.col("part")).alias("part"), whole(F.col("fp")).alias("fp"), "in", whole(F.col("size")).alias("size"), whole(F.col("bit")).alias("bit"))
+    keyed = variants(segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), "lone", F.col("bits")[0].alias("bit")))
+    keyed = keyed.select(whole(F.col("part")).alias("part"), whole(F.col("fp")).alias("fp"), "in", whole(F.col("size")).alias("size"), whole(F.col("lone")).alias("lone"), whole(F.col("bit")).alias("bit"))
     # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
     probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
     wanted = (F.col("part_a") == F.col("part")) & (F.col("in_a") < F.col("in")) & near(F.col("bit_a"), F.col("bit")) & of_size(F.col("size_a"), F.col("size"))
+    common = F.least(F.col("size_a") - F.col("lone_a"), F.col("size") - F.col("lone"))
+    possible = (F.least("lone_a", "lone") < 0) | (common >= similarity * (F.col("size_a") + F.col("size") - common))
     # Merge hints: the optimizer takes exploded variants for as small as their source and would broadcast them.
-    pairs = probes.hint("merge").join(keyed.hint("merge"), wanted).select(F.least("fp_a", "fp").alias("a"), F.greatest("fp_a", "fp").alias("b")).distinct()
-    links = staged(verified(staged(pairs, "further_pairs"), distinct, marked, similarity, words, text_col), "further_links")
+    pairs = probes.hint("merge").join(keyed.hint("merge"), wanted & possible).select(F.least("fp_a", "fp").alias("a"), F.greatest("fp_a", "fp").alias("b")).distinct()
+    close = close_pairs(staged(pairs, "further_pairs"), distinct)
+    links = staged(similar_pairs(close, texts_of(close, marked, text_col), similarity, words), "further_links")
     of = lambda c: known.select(F.col("fp").alias(c), F.col("c").alias(f"c_{c}"))
     between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()
     second = connected_components(between).select(F.col("node").alias("c"), F.col("component").alias("final"))
