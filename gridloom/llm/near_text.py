@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import spread, staged
+from .shared import joins_within_partitions, spread, staged
 from .simhash import first_rows, shingle_hashes
 
-SEGMENTS, WIDTH = 16, 16
+SEGMENTS, WIDTH, QUARTER = 16, 16, 4
 WORDS = SEGMENTS * WIDTH // 64
 #: Bits of the first 64, and of all 256, in which a pair of similarity 0.8 differs at most: four standard deviations.
 MOST_FIRST, MOST_ALL = 21, 64
@@ -81,10 +81,33 @@ def segments(sets: DataFrame) -> DataFrame:
     return sets.filter(F.size("bits") > 0).select("*", F.explode(F.array(*map(of, range(SEGMENTS)))).alias("part"))
 
 
-def variants(parts: DataFrame) -> DataFrame:
-    """``segments`` with a row for each wildcard: ``part`` without one bit, below that bit's number."""
-    wild = F.explode(F.array(*[F.struct(F.lit(~(1 << b)).alias("keep"), F.lit(b << 24).alias("at")) for b in range(WIDTH)]))
-    return parts.select("*", wild.alias("_wild")).withColumn("part", F.col("part").bitwiseAND(F.col("_wild.keep")).bitwiseOR(F.col("_wild.at"))).drop("_wild")
+def variants(parts: DataFrame, sets: int) -> DataFrame:
+    """``segments`` of so many ``sets``, none of its columns null, with a row for each wildcard.
+
+    ``part`` is the segment without one bit, below that bit's number. Rows are shuffled once for each quarter of a
+    segment, by ``key``, the bits outside the quarter; the quarter's wildcards are made after the shuffle. Groups by
+    (key, part) then need no shuffle of their own.
+    """
+    quarters = F.inline(F.array(*[F.struct(F.lit(~((1 << QUARTER) - 1 << at)).alias("_keep"), F.lit(at << 24).alias("_at")) for at in range(0, WIDTH, QUARTER)]))
+    keyed = parts.withColumnRenamed("part", "whole").select("*", quarters).withColumn("key", F.col("whole").bitwiseAND(F.col("_keep")).bitwiseOR(F.col("_at"))).drop("_keep", "_at")
+    dealt = keyed.repartition(min(SEGMENTS * (WIDTH // QUARTER) << (WIDTH - QUARTER), max(1, -(-sets // 4096))), "key")
+    wild = F.explode(F.array(*[F.shiftright("key", 24) + F.lit(b) for b in range(QUARTER)]))
+    part = F.col("whole").bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1), F.col("_wild")))).bitwiseOR(F.shiftleft("_wild", 24))
+    return dealt.select("*", wild.alias("_wild")).withColumn("part", part)
+
+
+def first_met(a: str, b: str, wild: str, bit_a: str, bit_b: str) -> Column:
+    """Of the variants that two sets share, at most one in each segment, and none if an earlier one of the first 64 bits has one.
+
+    ``a`` and ``b`` are the whole segments of a shared variant, ``wild`` is the number of its wildcard.
+    """
+    apart = F.col(a).bitwiseXOR(F.col(b))
+    once = (apart != 0) | (F.col(wild) == 0)
+    diff = F.col(bit_a).bitwiseXOR(F.col(bit_b))
+    for n in range(64 // WIDTH):
+        met = F.bit_count(diff.bitwiseAND(F.lit(((1 << WIDTH) - 1 << n * WIDTH) - (1 << 64 if n == 64 // WIDTH - 1 else 0)))) <= 1
+        once = once & ~(met & (F.shiftright(a, WIDTH) > n))
+    return once
 
 
 def close_pairs(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -149,8 +172,8 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
     before = met_most(keyed.withColumn("o", F.lag(F.struct("fp", "size", "bit")).over(Window.partitionBy("part").orderBy("bit", "fp"))))
     texts = texts_of(before, marked, text_col)
     lone = lone_shingles(texts, words)
-    counted = variants(segments(spread(distinct.select("fp", "size", "bits").join(lone, "fp"), 8192)).select("part", "fp", "size", F.col("bits")[0].alias("bit"), (-F.col("lone") / F.col("size")).alias("shared")))
-    hubs = met_most(counted.withColumn("o", F.max(F.struct("shared", "size", "fp", "bit")).over(Window.partitionBy("part"))))
+    counted = segments(spread(distinct.select("fp", "size", "bits").join(lone, "fp"), 8192)).select("part", "fp", "size", F.col("bits")[0].alias("bit"), (-F.col("lone") / F.col("size")).alias("shared"))
+    hubs = met_most(variants(counted, lone.count()).withColumn("o", F.max(F.struct("shared", "size", "fp", "bit")).over(Window.partitionBy("key", "part"))))
     first = connected_components(staged(similar_pairs(before.union(hubs).distinct(), texts, similarity, words), "near_links"))
     sizes = first.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     known = staged(
@@ -160,16 +183,19 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
     )
     component = F.struct("members", "c").alias("in")
     whole = lambda c: F.coalesce(c, F.lit(0))  # noqa: E731  no column is null, so neither side gets a filter that the other lacks
-    keyed = variants(segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), "lone", F.col("bits")[0].alias("bit")))
-    keyed = keyed.select(whole(F.col("part")).alias("part"), whole(F.col("fp")).alias("fp"), "in", whole(F.col("size")).alias("size"), whole(F.col("lone")).alias("lone"), whole(F.col("bit")).alias("bit"))
+    keyed = segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), "lone", F.col("bits")[0].alias("bit"))
+    keyed = variants(keyed.select("in", *[whole(F.col(c)).alias(c) for c in ("part", "fp", "size", "lone", "bit")]), known.count())
     # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
-    probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
-    wanted = (F.col("part_a") == F.col("part")) & (F.col("in_a") < F.col("in")) & near(F.col("bit_a"), F.col("bit")) & of_size(F.col("size_a"), F.col("size"))
+    probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("key", "part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
+    same = (F.col("key_a") == F.col("key")) & (F.col("part_a") == F.col("part")) & first_met("whole_a", "whole", "_wild", "bit_a", "bit")
+    wanted = same & (F.col("in_a") < F.col("in")) & near(F.col("bit_a"), F.col("bit")) & of_size(F.col("size_a"), F.col("size"))
     common = F.least(F.col("size_a") - F.col("lone_a"), F.col("size") - F.col("lone"))
     possible = (F.least("lone_a", "lone") < 0) | (common >= similarity * (F.col("size_a") + F.col("size") - common))
     # Merge hints: the optimizer takes exploded variants for as small as their source and would broadcast them.
     pairs = probes.hint("merge").join(keyed.hint("merge"), wanted & possible).select(F.least("fp_a", "fp").alias("a"), F.greatest("fp_a", "fp").alias("b")).distinct()
-    close = close_pairs(staged(pairs, "further_pairs"), distinct)
+    with joins_within_partitions(distinct.sparkSession):
+        further = staged(pairs, "further_pairs")
+    close = close_pairs(further, distinct)
     links = staged(similar_pairs(close, texts_of(close, marked, text_col), similarity, words), "further_links")
     of = lambda c: known.select(F.col("fp").alias(c), F.col("c").alias(f"c_{c}"))
     between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()

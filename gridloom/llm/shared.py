@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,18 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(max(1, -(-df.count() // rows)))
 
 
+@contextmanager
+def joins_within_partitions(spark: SparkSession):
+    """Joins planned inside need no shuffle where both sides were repartitioned by some of the join's keys alike."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
