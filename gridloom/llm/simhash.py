@@ -21,9 +21,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import join_groups, spread, staged
+from .shared import join_groups, joins_within_partitions, spread, staged
 
 BITS = 64
+BLOCK = 8
+#: What two fingerprints of one signature have in common: the first two name it, the others follow from them.
+SIGNATURE = ("part", "wild", "rest", "block")
 
 
 def shingle_hashes(text: str | None, words: int, seed: int) -> np.ndarray:
@@ -74,10 +77,26 @@ def _mask(segment: tuple[int, int]) -> int:
     return ((1 << segment[1]) - 1) << segment[0]
 
 
-def signatures(fps: DataFrame, distance: int) -> DataFrame:
-    """``fps`` with one row for each signature: ``wild`` (the bit put out) and ``part`` (what is left of its segment)."""
-    wild = F.array(*[F.struct(F.lit(_signed(1 << b)).alias("wild"), F.lit(_signed(_mask(s) & ~(1 << b))).alias("keep")) for s in segments(distance) for b in range(s[0], s[0] + s[1])])
-    return fps.select("*", F.inline(wild)).withColumn("part", F.col("fp").bitwiseAND(F.col("keep"))).drop("keep")
+def blocks(distance: int) -> list[list[tuple[int, int, int]]]:
+    """Each segment cut into blocks of at most ``BLOCK`` bits: (bit, the segment's other bits, its bits outside the block) for each bit of a block."""
+    cut = [((first, bits), range(at, min(at + BLOCK, first + bits))) for first, bits in segments(distance) for at in range(first, first + bits, BLOCK)]
+    return [[(1 << b, _mask(s) & ~(1 << b), _mask(s) & ~_mask((block[0], len(block)))) for b in block] for s, block in cut]
+
+
+def signatures(fps: DataFrame, distance: int, rows: int) -> DataFrame:
+    """``fps`` with one row for each signature: ``wild`` (the bit put out) and ``part`` (what is left of its segment).
+
+    The ``rows`` are shuffled once for each block of bits, by its number ``block`` and ``rest``, the segment's bits
+    outside the block; the signatures with a wildcard in the block are made after the shuffle. Groups by ``SIGNATURE``
+    then need no shuffle of their own. No column that is added is null.
+    """
+    table = blocks(distance)
+    cut = F.array(*[F.struct(F.lit(n).alias("block"), F.lit(_signed(bits[0][2])).alias("_outside")) for n, bits in enumerate(table)])
+    keyed = fps.select("*", F.inline(cut)).withColumn("rest", F.col("fp").bitwiseAND(F.col("_outside"))).drop("_outside")
+    dealt = keyed.repartition(max(1, -(-rows // 16384)), "block", "rest")
+    wilds = F.array(*[F.array(*[F.struct(F.lit(_signed(bit)).alias("wild"), F.lit(_signed(keep)).alias("_keep")) for bit, keep, _ in bits]) for bits in table])
+    made = dealt.select("*", F.inline(F.get(wilds, F.col("block"))))
+    return made.withColumn("part", F.coalesce(F.col("fp").bitwiseAND(F.col("_keep")), F.lit(0))).withColumn("wild", F.coalesce("wild", F.lit(0))).drop("_keep")
 
 
 def first_wild(diff: Column, distance: int) -> Column:
@@ -97,8 +116,9 @@ def linked_components(distinct: DataFrame, distance: int = 4) -> DataFrame:
     pairs from different components so far; of these one side lies outside the bucket's largest component, so only
     such rows probe the bucket, and the join emits a pair once, from the first signature that it shares.
     """
-    order = Window.partitionBy("wild", "part").orderBy("fp")
-    near = signatures(spread(distinct.select("fp"), 16384), distance).withColumn("other", F.lag("fp").over(order)).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= distance)
+    order = Window.partitionBy(*SIGNATURE).orderBy("fp")
+    fps = spread(distinct.select(F.coalesce("fp", F.lit(0)).alias("fp")), 16384)
+    near = signatures(fps, distance, distinct.count()).withColumn("other", F.lag("fp").over(order)).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= distance)
     first = connected_components(staged(near.select(F.col("other").alias("a"), F.col("fp").alias("b")).distinct(), "near_links"))
     sizes = first.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     known = staged(
@@ -107,15 +127,18 @@ def linked_components(distinct: DataFrame, distance: int = 4) -> DataFrame:
         "first_components",
     )
     # No column is null, so neither side of the join gets a filter that the other lacks.
-    keyed = signatures(spread(known.select(F.coalesce("fp", F.lit(0)).alias("fp"), F.struct("members", "c").alias("in")), 16384), distance)
-    keyed = keyed.select(F.coalesce("wild", F.lit(0)).alias("wild"), F.coalesce("part", F.lit(0)).alias("part"), "fp", "in")
+    fps = spread(known.select(F.coalesce("fp", F.lit(0)).alias("fp"), F.struct("members", "c").alias("in")), 16384)
+    keyed = signatures(fps, distance, known.count())
     # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
-    probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("wild", "part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
+    probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy(*SIGNATURE))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
     diff = F.col("fp_a").bitwiseXOR(F.col("fp"))
-    same = (F.col("wild_a") == F.col("wild")) & (F.col("part_a") == F.col("part")) & (F.col("in_a") < F.col("in"))
+    same = F.col("in_a") < F.col("in")
+    for c in reversed(SIGNATURE):
+        same = (F.col(f"{c}_a") == F.col(c)) & same
     # Merge hints: the optimizer takes exploded signatures for as small as their source and would broadcast them.
     pairs = probes.hint("merge").join(keyed.hint("merge"), same & (F.bit_count(diff) <= distance) & (first_wild(diff, distance) == F.col("wild_a")))
-    between = staged(pairs.select(F.least("in_a.c", "in.c").alias("a"), F.greatest("in_a.c", "in.c").alias("b")).distinct(), "further_links")
+    with joins_within_partitions(distinct.sparkSession):
+        between = staged(pairs.select(F.least("in_a.c", "in.c").alias("a"), F.greatest("in_a.c", "in.c").alias("b")).distinct(), "further_links")
     second = connected_components(between).select(F.col("node").alias("c"), F.col("component").alias("final"))
     return known.join(second, "c", "left").select("fp", F.coalesce("final", "c").alias("component"))
 
