@@ -118,7 +118,7 @@ def close_pairs(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def texts_of(pairs: DataFrame, marked: DataFrame, text_col: str) -> DataFrame:
-    """(fp, text) for the sets of ``pairs``. Only their texts are shuffled."""
+    """(fp, text) for the sets of ``pairs``. The semi-join shuffles all rows unless the wanted sets are few enough to be broadcast."""
     wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
     rows = marked.select(F.col("_set").alias("fp"), F.col(text_col).alias("text"))
     return staged(rows.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("text").alias("text")), "candidate_texts")
