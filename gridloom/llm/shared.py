@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: ASCII white space, as the contracts of exact and near dedup define it (fixed value).
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -40,6 +41,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, order: list[Column], rows_per_task: int = 500_000) -> DataFrame:
+    """``rows`` with ``row``, their number from 0 in the given order, ties in any order that holds from then on.
+
+    Rows are range-partitioned, by a tie-break too, so that equal ones spread over tasks; the number is the place in
+    the partition behind the rows of earlier partitions, whose counts, one for each task, are broadcast.
+    """
+    held = staged(rows.withColumn("_tie", F.monotonically_increasing_id()), "rows_to_number")
+    tasks = max(1, -(-held.count() // rows_per_task))
+    dealt = held.repartitionByRange(tasks, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    placed = staged(dealt.withColumn("_at", F.monotonically_increasing_id()), "placed_rows")  # partition, then place in it
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = placed.withColumns({"_part": part, "row": place})
+    return marked.join(F.broadcast(counts.select("_part", before.alias("_before"))), "_part").withColumn("row", F.col("_before") + F.col("row")).drop("_at", "_part", "_before")
+
+
 def spread(df: DataFrame, rows: int) -> DataFrame:
     """``df``, a staged table of few bytes that much is made of, over tasks of about ``rows`` rows each."""
     return df.repartition(max(1, -(-df.count() // rows)))
