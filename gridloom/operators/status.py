@@ -100,12 +100,18 @@ def merge_population(status: DataFrame, scored: DataFrame) -> DataFrame:
     return marked.select("guid", *[(F.when(replace, F.col(f"n.{c}")).otherwise(F.col(f"s.{c}")) if c in have else F.col(f"s.{c}")).alias(c) for c in cols])
 
 
-def merge_verdicts(status: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Every guid of either side; what a verdict says wins over what was there."""
+def merge_verdicts(status: DataFrame, verdicts: DataFrame, version: str | None = None, at: Column | None = None) -> DataFrame:
+    """Every guid of either side. A verdict sets all of its columns, to null too: a complete document loses its old
+    message. ``version`` and ``at`` become the extraction_version and extracted_at of its rows.
+
+    Of a guid's verdicts the last by staged_at counts, where there is such a column, else one of them (``one_each``).
+    """
     cols = [c for c in status.columns if c != "guid"]
-    have = set(verdicts.columns)
-    met = status.alias("s").join(one_each(verdicts).alias("v"), "guid", "full")
-    return met.select("guid", *[(F.coalesce(F.col(f"v.{c}"), F.col(f"s.{c}")) if c in have else F.col(f"s.{c}")).alias(c) for c in cols])
+    once = latest_verdict(verdicts) if "staged_at" in verdicts.columns else one_each(verdicts)
+    given = {"extraction_version": None if version is None else F.lit(version), "extracted_at": at}
+    new = {c: F.col(f"v.{c}") for c in verdicts.columns if c in cols} | {c: v for c, v in given.items() if v is not None and c in cols}
+    met = status.alias("s").join(once.withColumn("_new", F.lit(True)).alias("v"), "guid", "full")
+    return met.select("guid", *[(F.when(F.col("_new"), new[c]).otherwise(F.col(f"s.{c}")) if c in new else F.col(f"s.{c}")).alias(c) for c in cols])
 
 
 def merge_first(shared: DataFrame, local: DataFrame, key: str = "schema_hash") -> DataFrame:

@@ -342,7 +342,7 @@ def backlog_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.pending_totals(status_table(spark, sf_dir), 10, "src1")
 
 
-@query(STATUS + "SELECT s.guid, CASE WHEN v.guid IS NOT NULL THEN v.status ELSE s.status END AS status, coalesce(v.error_message, s.error_message) AS error_message FROM status s LEFT JOIN verdicts v USING (guid)")
+@query(STATUS + "SELECT s.guid, CASE WHEN v.guid IS NOT NULL THEN v.status ELSE s.status END AS status, CASE WHEN v.guid IS NOT NULL THEN v.error_message ELSE s.error_message END AS error_message FROM status s LEFT JOIN verdicts v USING (guid)")
 def verdicts_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.merge_verdicts(status_table(spark, sf_dir), verdict_table(spark, sf_dir)).select("guid", "status", "error_message")
 
@@ -710,5 +710,9 @@ def _shared(spark: SparkSession) -> str:
     import tempfile
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
+        root = tempfile.mkdtemp(prefix="gridloom-")
     return f"{root.rstrip('/')}/gridloom/out-{uuid.uuid4().hex}"

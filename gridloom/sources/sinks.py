@@ -3,63 +3,58 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from functools import partial
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gridloom.functions.text import sheet_slug
+from gridloom.sources.bucketed import BucketedTable, exists, folders, remove
+from gridloom.sources.files import ParquetFile
 
-#: Shapes beyond which one table for each is refused.
-MOST_SHAPES = 200
 #: What the corpus table keeps of a row's errors.
 MOST_ERRORS, ERROR_CHARS = 20, 1024
 
 
-def bucket_of(guid: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(guid), F.lit(buckets)).cast("int")
-
-
-def write_extractions(rows: DataFrame, path: str, layout: str = "bucket", buckets: int = 64, files: int = 1) -> None:
+def write_extractions(rows: DataFrame, path: str, layout: str = "bucket", buckets: int = 64) -> None:
     """Parquet at a fixed place, so a re-run replaces a document's rows.
 
-    ``per_guid`` has a folder for each document and suits small sets. ``bucket`` has a folder for each hash bucket of
-    guids: buckets that ``rows`` touches are rewritten with the rows of their other documents carried over. The folder
-    names hold the number of buckets, so readers need not know it, and later writers go on with it; choose it, and
-    ``files`` in a bucket, so that a file has some hundred MB. For a stream of small batches see ``write_batch``.
+    ``per_guid`` has a folder for each document and suits small sets. ``bucket`` is a ``BucketedTable``: the buckets that
+    ``rows`` touch are rewritten with the rows of their other documents and published together, and what they held before
+    is deleted once it is two writes old. For a stream of small batches see ``write_batch``.
     """
-    spark = rows.sparkSession
     if layout == "per_guid":
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("guid").parquet(path)
         return
-    there = _exists(spark, path)
-    buckets = spark.read.parquet(path).select("buckets").first()[0] if there else buckets
-    new = rows.withColumn("buckets", F.lit(buckets)).withColumn("bucket", bucket_of("guid", buckets))
-    if there:
-        touched = new.select("bucket").distinct()
-        old = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi").join(rows.select("guid").distinct(), "guid", "left_anti")
-        new = new.unionByName(old.select(*new.columns), allowMissingColumns=True)
-        hold = f"{path.rstrip('/')}_rewrite_{uuid.uuid4().hex}"
-        new.write.parquet(hold)  # a folder is never read and overwritten in one job
-        new = spark.read.parquet(hold)
-    dealt = new.repartition("bucket", F.pmod(F.xxhash64("guid", F.lit("file")), F.lit(files)))
-    dealt.sortWithinPartitions("bucket", "guid").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(path)
+    spark, hold = rows.sparkSession, f"{path.rstrip('/')}/hold-{uuid.uuid4().hex}"
+    rows.write.parquet(hold)  # the rows are made once
+    table = BucketedTable(spark, path, buckets)
+    table.replace(spark.read.schema(rows.schema).parquet(hold), lambda old, new: _instead(old, new, table.buckets))
+    remove(spark, hold)
+    table.vacuum()
+
+
+def _instead(old: DataFrame, new: DataFrame, buckets: int) -> DataFrame:
+    """``old`` with all rows of the guids in ``new`` replaced; only ``new`` is shuffled."""
+    new = new.repartition(buckets, "guid")
+    return old.join(new.select("guid").distinct(), "guid", "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 def read_extraction(spark: SparkSession, path: str, guid: str | None = None, sheet: int | None = None) -> DataFrame:
     """What ``write_extractions`` wrote; for one guid only its bucket is read."""
-    rows = spark.read.parquet(path)
-    if guid is not None:
-        rows = (rows.filter(_in_bucket(guid)) if "bucket" in rows.columns else rows).filter(F.col("guid") == guid)
+    if exists(spark, f"{path.rstrip('/')}/manifests"):
+        rows = BucketedTable(spark, path).read(guid)
+    else:
+        rows = spark.read.parquet(path)
+        rows = rows if guid is None else rows.filter(F.col("guid") == guid)
     return rows if sheet is None else rows.filter(F.col("sheet_index") == sheet)
 
 
-def _in_bucket(guid: str) -> Column:
-    """Whether a folder is the guid's; it reads the folders' names only."""
-    return F.col("bucket") == F.pmod(F.xxhash64(F.lit(guid)), F.col("buckets")).cast("int")
-
-
 def write_batch(rows: DataFrame, path: str, number: int) -> None:
     """One batch of a stream in a folder of its own: a repeated batch replaces itself, and no other is touched."""
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number:09d}")
@@ -82,14 +77,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def delete_document(spark: SparkSession, path: str, guid: str) -> None:
-    """Rewrite the guid's bucket without it."""
-    mine = spark.read.parquet(path).filter(_in_bucket(guid))
-    place = mine.select("buckets", "bucket").first()
-    if place is None:
-        return
-    hold = f"{path.rstrip('/')}_rewrite_{uuid.uuid4().hex}"
-    mine.filter(F.col("guid") != guid).drop("buckets", "bucket").write.parquet(hold)
-    spark.read.parquet(hold).write.mode("overwrite").parquet(f"{path.rstrip('/')}/buckets={place[0]}/bucket={place[1]}")
+    """Publish the guid's bucket without it."""
+    table = BucketedTable(spark, path)
+    gone = spark.range(1).select(F.lit(guid).alias("guid"))
+    table.replace(gone, lambda old, gone: old.join(F.broadcast(gone), "guid", "left_anti"))
+    table.vacuum()
 
 
 def ordered_columns(rows: DataFrame) -> DataFrame:
@@ -99,16 +91,77 @@ def ordered_columns(rows: DataFrame) -> DataFrame:
     return first.groupBy("guid", "sheet_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias("names"))
 
 
-def write_wide_by_shape(rows: DataFrame, path: str, most_shapes: int = MOST_SHAPES) -> int:
-    """One table for each set of column names, with the names as columns; refuses more than ``most_shapes``."""
+def write_wide_by_shape(rows: DataFrame, path: str, most_shapes: int | None = None) -> int:
+    """One table for each set of column names, with the names as columns, all by one job; the number of shapes.
+
+    Rows are range-partitioned by shape, and within a shape by document, so that a shape of many rows spreads over tasks
+    and a task holds one open file whatever the number of shapes. Files appear under their names only when complete. All
+    are below a folder of this run; when every task is done, the folders of earlier runs go. ``wide_shapes`` lists what
+    was written. With ``most_shapes``, more of them are refused before anything is written.
+    """
+    spark, root = rows.sparkSession, path.rstrip("/")
     shaped = rows.join(ordered_columns(rows), ["guid", "sheet_index"]).withColumn("shape", F.substring(F.sha2(F.to_json("names"), 256), 1, 16))
-    shapes = shaped.groupBy("shape").agg(F.first("names").alias("names")).limit(most_shapes + 1).collect()
-    if len(shapes) > most_shapes:
+    if most_shapes is not None and len(shaped.select("shape").distinct().limit(most_shapes + 1).collect()) > most_shapes:
         raise ValueError(f"more than {most_shapes} shapes: keep the long form")
-    for shape, names in shapes:
-        wide = shaped.filter(F.col("shape") == shape).select("guid", "sheet_index", "sheet_name", "row_number", "valid", *[F.try_element_at("data", F.lit(n)).alias(_column_name(n)) for n in names])
-        wide.write.mode("overwrite").parquet(f"{path.rstrip('/')}/shape={shape}")
-    return len(shapes)
+    run = f"{root}/run={uuid.uuid4().hex}"
+    values = F.transform("names", lambda n: F.try_element_at(F.col("data"), n))
+    order = ["shape", "guid", "sheet_index", "row_number"]
+    dealt = shaped.select(*order, "sheet_name", "valid", "names", values.alias("values")).repartitionByRange(*order).sortWithinPartitions(*order)
+    written = dealt.mapInArrow(partial(_write_shapes, run), "shape string, names array<string>, path string, rows long")
+    written.write.parquet(f"{root}/_shapes/{run.rpartition('=')[2]}")
+    for name in folders(spark, root):
+        if name.startswith("run=") and not run.endswith(name):
+            remove(spark, f"{root}/{name}")
+            remove(spark, f"{root}/_shapes/{name[4:]}")
+    return wide_shapes(spark, path).count()
+
+
+def _write_shapes(run: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Write runs of rows of one shape, each to a file with the shape's own columns, and list the files."""
+    part = TaskContext.get().partitionId()
+    kept = ["guid", "sheet_index", "sheet_name", "row_number", "valid"]
+    now, out, listed = None, None, []
+
+    def close() -> None:
+        if now:
+            out.__exit__(None, None, None)
+            listed.append(now)
+
+    try:
+        for batch in batches:
+            shapes = batch.column("shape").to_pylist()
+            starts = [i for i, x in enumerate(shapes) if i == 0 or x != shapes[i - 1]]
+            for a, b in zip(starts, [*starts[1:], len(shapes)]):
+                if now is None or now["shape"] != shapes[a]:
+                    close()
+                    names = batch.column("names")[a].as_py()
+                    now = {"shape": shapes[a], "names": names, "path": f"{run}/shape={shapes[a]}/part-{part:05d}.parquet", "rows": 0}
+                    fields = [batch.schema.field(c) for c in kept] + [pa.field(_column_name(n), pa.string()) for n in names]
+                    out = ParquetFile(now["path"], pa.schema(fields))
+                    out.__enter__()
+                cut = batch.slice(a, b - a)
+                flat = cut.column("values").flatten()
+                width = len(now["names"])
+                cells = [flat.take(pa.array(range(i, len(flat), width))) for i in range(width)]
+                out.write(pa.RecordBatch.from_arrays([*[cut.column(c) for c in kept], *cells], schema=out.schema))
+                now["rows"] += b - a
+        close()
+    except BaseException as e:
+        if out is not None:
+            out.__exit__(type(e), e, None)
+        raise
+    yield pa.RecordBatch.from_pylist(listed, pa.schema([("shape", pa.string()), ("names", pa.list_(pa.string())), ("path", pa.string()), ("rows", pa.int64())]))
+
+
+def wide_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """(shape, names, files, rows) of what ``write_wide_by_shape`` wrote."""
+    listed = spark.read.schema("shape string, names array<string>, path string, rows long").option("recursiveFileLookup", True).parquet(f"{path.rstrip('/')}/_shapes")
+    return listed.groupBy("shape").agg(F.first("names").alias("names"), F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+
+
+def read_wide(spark: SparkSession, path: str, shape: str) -> DataFrame:
+    """The table of one shape."""
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/run=*/shape={shape}").drop("run", "shape")
 
 
 def _column_name(name: str) -> str:
@@ -161,11 +214,12 @@ def files_written(spark: SparkSession, path: str) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
-def write_summary(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(documents, empty_documents, sheets, rows); ``files_written`` has the files and bytes."""
+def write_summary(rows: DataFrame, docs: DataFrame, path: str | None = None) -> DataFrame:
+    """(documents, empty_documents, sheets, rows), and with the ``path`` that was written to its files and bytes."""
     got = rows.groupBy("guid").agg(F.count_distinct("sheet_index").alias("s"), F.count(F.lit(1)).alias("r"))
     met = docs.select("guid").distinct().join(got, "guid", "left")
-    return met.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("r").isNull()).alias("empty_documents"), F.coalesce(F.sum("s"), F.lit(0)).alias("sheets"), F.coalesce(F.sum("r"), F.lit(0)).alias("rows"))
+    files = [] if path is None else [F.lit(v).alias(k) for k, v in files_written(rows.sparkSession, path).first().asDict().items()]
+    return met.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("r").isNull()).alias("empty_documents"), F.coalesce(F.sum("s"), F.lit(0)).alias("sheets"), F.coalesce(F.sum("r"), F.lit(0)).alias("rows"), *files)
 
 
 def write_ndjson(rows: DataFrame, path: str, source: str, run_id: str, extracted_at: Column) -> None:
@@ -200,6 +254,11 @@ def record_sheets(ledger: DataFrame, sheets: DataFrame) -> DataFrame:
     return kept.unionByName(sheets, allowMissingColumns=True)
 
 
+def keep_ledger(table: BucketedTable, sheets: DataFrame) -> None:
+    """``record_sheets`` on a table that is kept: only the buckets of the documents in ``sheets`` are read and replaced."""
+    table.replace(sheets, lambda ledger, new: _instead(ledger, new, table.buckets))
+
+
 def audit_export(audited: DataFrame) -> DataFrame:
     """Flat rows for analysts: of each stage's issues the first two."""
     return audited.select("guid", "stage", "passed", F.array_join(F.slice("issues", 1, 2), "; ").alias("issues"))

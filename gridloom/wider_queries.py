@@ -10,6 +10,7 @@ from gridloom.functions import text
 from gridloom.operators import evaluate, extract, layout, schema_map, sheets, status
 from gridloom.queries import STATUS, _shared, long_rows, query, status_table, table, verdict_table, workbooks
 from gridloom.sources import readers, sinks
+from gridloom.sources.bucketed import BucketedTable
 from gridloom.streaming import drain
 
 # ---- sources and sinks -----------------------------------------------------------------------------------------------
@@ -55,7 +56,7 @@ def metrics_of_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written in eight buckets, one document deleted, the rest read back; readers find the number of buckets."""
     path = f"{_shared(spark)}/extractions"
-    sinks.write_extractions(long_rows(spark, sf_dir), path, buckets=8, files=2)
+    sinks.write_extractions(long_rows(spark, sf_dir), path, buckets=8)
     sinks.delete_document(spark, path, "7")
     return sinks.read_extraction(spark, path).select("guid", "row_number", F.try_element_at("data", F.lit("name")).alias("name"))
 
@@ -126,7 +127,7 @@ def resumed_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain.resume_backlog(st, v, ["pending", "error_extraction"], status.merge_verdicts(st, v))
 
 
-@query(STATUS + "SELECT guid, coalesce(v.status, s.status) AS status, coalesce(v.error_message, s.error_message) AS error_message, body_length FROM status s FULL JOIN verdicts v USING (guid)")
+@query(STATUS + "SELECT guid, coalesce(v.status, s.status) AS status, CASE WHEN v.status IS NULL THEN s.error_message ELSE v.error_message END AS error_message, body_length FROM status s FULL JOIN verdicts v USING (guid)")
 def verdicts_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts flushed by a stream in two runs; of each guid's two verdicts the later counts."""
     home = _shared(spark)
@@ -293,3 +294,56 @@ def fair_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.array(F.lit("ab"), F.concat(F.lit("cdefgh"), "c_name"), F.lit("äb"))
     most = F.when(F.col("c_custkey") % 2 == 0, 11).otherwise(13)
     return c.select(F.col("c_custkey").cast("long").alias("key"), F.array_join(sheets.fit_budget(lines, most), ",").alias("kept"))
+
+
+# ---- tables that are kept, and changed in the buckets that a change touches -----------------------------------------
+
+
+def _kept(spark: SparkSession, rows: DataFrame, buckets: int = 16) -> BucketedTable:
+    return BucketedTable(spark, f"{_shared(spark)}/kept", buckets).write(rows)
+
+
+@query(STATUS + "SELECT guid, coalesce(v.status, s.status) AS status, CASE WHEN v.status IS NULL THEN s.error_message ELSE v.error_message END AS error_message, CASE WHEN v.status IS NULL THEN s.extraction_version ELSE 'v2' END AS extraction_version, CASE WHEN v.status IS NULL THEN s.extracted_at ELSE 1000 END AS extracted_at, body_length FROM status s FULL JOIN verdicts v USING (guid)")
+def verdicts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts merged into a kept status table; of each guid's two verdicts the later counts, and it clears old messages."""
+    kept = _kept(spark, status_table(spark, sf_dir))
+    v = verdict_table(spark, sf_dir).withColumn("staged_at", F.lit(2))
+    early = v.withColumns({"status": F.lit("error_pipeline"), "error_message": F.lit("early"), "staged_at": F.lit(1)})
+    kept.replace(v.unionByName(early), lambda old, new: status.merge_verdicts(old, new, "v2", F.lit(1000).cast("long")))
+    return kept.read().select("guid", "status", "error_message", "extraction_version", "extracted_at", "body_length")
+
+
+@query(STATUS + "SELECT guid, CASE WHEN s.guid IS NULL OR s.status IN ('pending', 'needs_llm_review', 'excluded_no_pii') AND v.guid IS NOT NULL THEN v.status ELSE s.status END AS status, body_length FROM status s FULL JOIN (SELECT guid, status FROM verdicts) v USING (guid)")
+def population_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A population pass over a kept status table: open rows are updated, the others stay."""
+    kept = _kept(spark, status_table(spark, sf_dir))
+    kept.replace(verdict_table(spark, sf_dir).select("guid", "status"), status.merge_population)
+    return kept.read().select("guid", "status", "body_length")
+
+
+@query("SELECT CAST(c_custkey % 50 AS VARCHAR) AS guid, CAST(c_nationkey AS INTEGER) AS sheet_index, CASE WHEN c_custkey % 50 % 3 = 0 THEN 'passed' ELSE 'failed' END AS status, count(*) AS n FROM customer GROUP BY ALL")
+def ledger_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``ledger_recorded``, on a kept ledger whose untouched buckets are not read."""
+    c = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 50).alias("k"), F.col("c_nationkey").cast("int").alias("sheet_index"))
+    row = lambda status: [F.col("k").cast("string").alias("guid"), "sheet_index", F.lit(status).alias("status")]
+    kept = _kept(spark, c.select(*row("failed")))
+    sinks.keep_ledger(kept, c.filter("k % 3 = 0").select(*row("passed")))
+    return kept.read().groupBy("guid", "sheet_index", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    WITH rows AS (SELECT '["name","k' || CAST(c_custkey % 997 AS VARCHAR) || '"]' AS names, count(*) AS n FROM customer GROUP BY 1)
+    SELECT substr(sha256(names), 1, 16) AS shape, names, n AS rows FROM rows
+""")
+def many_wide_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearly a thousand sets of column names, each a table of its own, written by one job and counted from the files."""
+    path = f"{_shared(spark)}/wide"
+    c = table(spark, sf_dir, "customer")
+    key = F.concat(F.lit("k"), (F.col("c_custkey") % 997).cast("string"))
+    rows = c.select(
+        key.alias("guid"), F.lit(0).alias("sheet_index"), F.lit("s").alias("sheet_name"), F.col("c_custkey").cast("long").alias("row_number"), F.lit(True).alias("valid"), F.array(F.lit("name"), key).alias("columns"),
+        F.create_map(F.lit("name"), F.col("c_name"), key, F.col("c_acctbal").cast("string")).alias("data"),
+    )
+    sinks.write_wide_by_shape(rows, path)
+    found = spark.read.parquet(path).groupBy("shape").agg(F.count("name").alias("rows"))
+    return sinks.wide_shapes(spark, path).select("shape", F.to_json("names").alias("names")).join(found, "shape").select("shape", "names", "rows")
