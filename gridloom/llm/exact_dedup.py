@@ -1,29 +1,33 @@
 """Exact dedup on a persistent digest index, with DataFrame operations only.
 
 The index is a table bucketed and sorted by digest. New documents are reduced to one row for each digest, checked
-against the index by a sort-merge anti join (the index side needs neither shuffle nor sort), and the digests that
-it lacks are appended.
+against the index by a sort-merge anti join (the index side needs no shuffle), and the digests that it lacks are
+appended. Each append adds a file to every bucket, so the index side is sorted again once it has more than one.
 
 Defined results: a null text counts as empty; texts are equal when identical after each run of ASCII white space
 became one space; of equal texts the row with the smallest ``doc_id`` stays (a null id loses to any other); a row
 repeated with the same id stays once, as far as ``first_of_group`` tells rows apart; an empty table gives an empty
-result; columns other than id and text are not read.
+result; columns other than id and text are not read, and ``first_of_group`` returns them unharmed, whatever their names.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import ASCII_SPACE, join_groups, scratch, staged, text_or_empty
+from .shared import ASCII_SPACE, join_groups, packed, scratch, staged, text_or_empty, unpacked
+
+
+def digest_of(text: Column) -> Column:
+    normal = F.regexp_replace(text_or_empty(text), ASCII_SPACE, " ")
+    return F.unhex(F.sha2(normal.cast("binary"), 256))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest): SHA-256 of the normalised text, as 32 bytes."""
-    normal = F.regexp_replace(text_or_empty(text_col), ASCII_SPACE, " ")
-    return docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(normal.cast("binary"), 256)).alias("digest"))
+    return docs.select(F.col(id_col).alias("doc_id"), digest_of(F.col(text_col)).alias("digest"))
 
 
 class DigestIndex:
@@ -83,9 +87,8 @@ def first_of_group(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     Whole rows are shuffled once, by (digest, id), which no group of copies makes uneven. The same partitioning
     serves to keep one of several rows that share both id and text.
     """
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     stay = deduplicate(docs, index, id_col, text_col).filter(~F.col("known") & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    stay = stay.select(F.col("digest").alias("_digest"), key("doc_id").alias("_id")).distinct()
-    normal = F.regexp_replace(text_or_empty(text_col), ASCII_SPACE, " ")
-    marked = docs.withColumn("_digest", F.unhex(F.sha2(normal.cast("binary"), 256))).withColumn("_id", key(id_col))
-    return marked.join(stay, ["_digest", "_id"], "left_semi").dropDuplicates(["_digest", "_id"]).select(*docs.columns)
+    stay = stay.select("digest", key(F.col("doc_id")).alias("id")).distinct()
+    marked = packed(docs).withColumns({"digest": digest_of(F.col("doc")[text_col]), "id": key(F.col("doc")[id_col])})
+    return unpacked(marked.join(stay, ["digest", "id"], "left_semi").dropDuplicates(["digest", "id"]))

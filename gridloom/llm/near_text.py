@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import joins_within_partitions, spread, staged
+from .shared import joins_within_partitions, packed, spread, staged, unpacked
 from .simhash import first_rows, shingle_hashes
 
 SEGMENTS, WIDTH, QUARTER = 16, 16, 4
@@ -60,8 +60,8 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both)
 
 
-def sketched(docs: DataFrame, words: int = 5, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_set`` (hash of the shingle set), ``_size`` (shingles in it) and ``_bits`` (none for an empty set)."""
+def sketched(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc: struct of all columns, id, fp: hash of the shingle set, size: shingles in it, bits: none for an empty set)."""
 
     @F.pandas_udf(T.StructType([T.StructField("set", T.LongType()), T.StructField("size", T.LongType()), T.StructField("bits", T.ArrayType(T.LongType()))]))
     def sketch(texts: pd.Series) -> pd.DataFrame:
@@ -72,7 +72,8 @@ def sketched(docs: DataFrame, words: int = 5, text_col: str = "text") -> DataFra
         sets, sizes, bits = zip(*out) if out else ((), (), ())
         return pd.DataFrame({"set": pd.Series(sets, dtype="int64"), "size": pd.Series(sizes, dtype="int64"), "bits": pd.Series(bits, dtype=object)})
 
-    return docs.withColumn("_s", sketch(F.col(text_col))).select(*docs.columns, F.col("_s.set").alias("_set"), F.col("_s.size").alias("_size"), F.col("_s.bits").alias("_bits"))
+    made = packed(docs).withColumn("s", sketch(F.col("doc")[text_col]))
+    return made.select("doc", F.col("doc")[id_col].alias("id"), F.col("s.set").alias("fp"), "s.size", "s.bits")
 
 
 def segments(sets: DataFrame) -> DataFrame:
@@ -120,7 +121,7 @@ def close_pairs(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
 def texts_of(pairs: DataFrame, marked: DataFrame, text_col: str) -> DataFrame:
     """(fp, text) for the sets of ``pairs``. The semi-join shuffles all rows unless the wanted sets are few enough to be broadcast."""
     wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    rows = marked.select(F.col("_set").alias("fp"), F.col(text_col).alias("text"))
+    rows = marked.select("fp", F.col("doc")[text_col].alias("text"))
     return staged(rows.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("text").alias("text")), "candidate_texts")
 
 
@@ -210,8 +211,8 @@ def first_of_similar(docs: DataFrame, similarity: float = 0.8, words: int = 5, i
     """
     if similarity < 0.8:
         raise ValueError("the segments and bit limits are chosen for similarities of 0.8 or more")
-    marked = staged(sketched(docs, words, text_col), "sketched")
-    groups = marked.groupBy(F.col("_set").alias("fp")).agg(F.min(id_col).alias("first_id"), F.max("_size").alias("size"), F.max("_bits").alias("bits"))
+    marked = staged(sketched(docs, words, id_col, text_col), "sketched")
+    groups = marked.groupBy("fp").agg(F.min("id").alias("first_id"), F.max("size").alias("size"), F.max("bits").alias("bits"))
     distinct = staged(groups, "distinct_sets")
     held = distinct.select("fp", "first_id").join(linked_components(distinct, marked, similarity, words, text_col), "fp")
-    return first_rows(marked, held, "_set", id_col).select(*docs.columns)
+    return unpacked(first_rows(marked, held))

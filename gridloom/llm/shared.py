@@ -41,6 +41,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column, ``doc``, beside which further columns may have any names."""
+    return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("doc"))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The columns that ``packed`` took in, as they were."""
+    return rows.select("doc.*")
+
+
 def numbered(rows: DataFrame, order: list[Column], rows_per_task: int = 500_000) -> DataFrame:
     """``rows`` with ``row``, their number from 0 in the given order, ties in any order that holds from then on.
 

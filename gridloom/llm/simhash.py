@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import join_groups, joins_within_partitions, spread, staged
+from .shared import join_groups, joins_within_partitions, packed, spread, staged, unpacked
 
 BITS = 64
 BLOCK = 8
@@ -169,17 +169,17 @@ def first_of_component(docs: DataFrame, distance: int = 4, words: int = 4, id_co
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
 
-    marked = staged(docs.withColumn("_fp", hashed(F.col(text_col))), "fingerprinted")
-    distinct = staged(marked.groupBy(F.col("_fp").alias("fp")).agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies")), "distinct_fingerprints")
-    return first_rows(marked, distinct.join(linked_components(distinct, distance), "fp"), "_fp", id_col).select(*docs.columns)
+    marked = staged(packed(docs).select("doc", hashed(F.col("doc")[text_col]).alias("fp"), F.col("doc")[id_col].alias("id")), "fingerprinted")
+    distinct = staged(marked.groupBy("fp").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "distinct_fingerprints")
+    return unpacked(first_rows(marked, distinct.join(linked_components(distinct, distance), "fp")))
 
 
-def first_rows(marked: DataFrame, held: DataFrame, key: str, id_col: str) -> DataFrame:
-    """The rows of ``marked`` that stay, one for each component of ``held`` (fp, first_id, component).
+def first_rows(marked: DataFrame, held: DataFrame) -> DataFrame:
+    """The rows of ``marked`` (fp, id, ...) that stay, one for each component of ``held`` (fp, first_id, component).
 
-    A component's row is that with the smallest ``first_id``, nulls last, then with the smallest fp: ``key`` in ``marked``.
+    A component's row is that with the smallest ``first_id``, nulls last, then with the smallest fp.
     """
     first = held.groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "fp")).alias("first"))
-    stay = first.select(F.col("first.fp").alias(key), F.col("first.first_id").alias("_first"))
-    here = (marked[key] == stay[key]) & marked[id_col].eqNullSafe(stay["_first"])
-    return marked.join(stay, here, "left_semi").dropDuplicates([key])
+    stay = first.select("first.fp", F.col("first.first_id").alias("first_id"))
+    here = (marked["fp"] == stay["fp"]) & marked["id"].eqNullSafe(stay["first_id"])
+    return marked.join(stay, here, "left_semi").dropDuplicates(["fp"])
