@@ -9,7 +9,10 @@ from .text import REST, let, strip
 
 
 def plain_cells(record: Column, delimiter: Column) -> Column:
-    return F.split(record, F.concat(F.lit("\\Q"), delimiter, F.lit("\\E")), -1)
+    """Cells between delimiters, none of which quotes. A delimiter of one character behind a backslash is a pattern that
+    Java splits at without compiling it; a letter, a digit or a longer text is quoted as a whole."""
+    short = delimiter.rlike(r"^[^\p{Alnum}]$")
+    return F.split(record, F.when(short, F.concat(F.lit("\\"), delimiter)).otherwise(F.concat(F.lit("\\Q"), delimiter, F.lit("\\E"))), -1)
 
 
 def quoted_cells(record: Column, delimiter: Column, quote: Column) -> Column:
@@ -32,6 +35,13 @@ def split_cells(records: Column, delimiter: Column, quote: Column) -> Column:
     return let(F.coalesce(quote, F.lit('"')), lambda q: F.transform(records, lambda r: record_cells(r, delimiter, q)))
 
 
+def cell_counts(records: Column, delimiter: str) -> Column:
+    """array<int>: how many cells each record has, double quotes honoured; a record without any is not split for it."""
+    d, q = F.lit(delimiter), F.lit('"')
+    plain = lambda r: F.octet_length(r) - F.octet_length(F.replace(r, d, F.lit(""))) + 1
+    return F.transform(records, lambda r: F.when(F.contains(r, q), F.size(quoted_cells(r, d, q))).otherwise(plain(r)))
+
+
 def quote_vote(records: Column, delimiter: Column) -> Column:
     """struct<quote, rows>: the quote that changes most of the records' cells, and of how many; null where none does."""
 

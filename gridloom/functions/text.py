@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 SHEET_MARKER = " \u0001\u0000"
 CELL_NEWLINE = "\u0004"
 ROW_SEPARATOR = "\n\n"
+#: Unicode white space and the four separators of ASCII.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 ZERO_WIDTH = "﻿​‌‍⁠"
 DELIMITERS = [(",", "comma", "csv"), ("|", "pipe", "pipe"), ("\t", "tab", "tab"), (";", "semicolon", "semicolon")]
 #: A workbook whose rows are marked beyond this share isn't one.
@@ -36,12 +38,12 @@ def once(value: Column) -> Column:
 
 def strip_zero_width(c: Column) -> Column:
     """Without the invisible characters that white-space trimming leaves."""
-    return F.translate(c, ZERO_WIDTH, "")
+    return F.when(c.rlike(f"[{ZERO_WIDTH}]"), F.translate(c, ZERO_WIDTH, "")).otherwise(c)  # translate goes by the character
 
 
 def strip(c: Column) -> Column:
-    """Without leading and trailing Unicode white space; ``trim`` would take blanks only."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+", ""), r"(?U)[\s\x1c-\x1f]+$", "")
+    """Without leading and trailing Unicode white space; ``trim`` by itself would take blanks only."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def rows_of(body: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.cells import name_cells, parse_cells, record_cells
 from gridloom.functions.text import once
+from gridloom.operators.row_kernel import name_records
 
 ROW_SCHEMA = "guid string, sheet_index int, sheet_name string, row_number long, valid boolean, errors array<string>, extra_values long, columns array<string>, data map<string,string>"
 
@@ -49,6 +50,30 @@ def extract_rows(rows: DataFrame) -> DataFrame:
     return named.select("guid", "sheet_index", "sheet_name", (F.col("line") + 1).cast("long").alias("row_number"), F.lit(True).alias("valid"), F.array().cast("array<string>").alias("errors"), surplus.alias("extra_values"), F.map_keys("data").alias("columns"), "data")
 
 
+def sheet_rows(profiles: DataFrame) -> DataFrame:
+    """``ROW_SCHEMA`` and ``kept`` for every data record of ``profiles``: what ``extract_rows`` gives for ``data_cells``, by
+    Arrow's kernels on batches of records; records that are too narrow are there too, without data and not kept.
+
+    Every record is a row of its own before it reaches a kernel, so a batch does not grow with a sheet.
+    """
+    header, footer, n = F.col("header_row_index"), F.col("footer_start_from_bottom"), F.size("records")
+    data = F.slice("records", header + 2, F.greatest(n - header - 1 - footer, F.lit(0)))
+    least = F.greatest(F.lit(1), F.floor(F.col("modal_field_count") * 0.5)).cast("int")
+    sheet = F.struct("delimiter", F.coalesce("quote_char", F.lit('"')).alias("quote"), F.col("header_names").alias("names"), F.col("null_values").alias("nulls"), least.alias("least"))
+    rows = profiles.filter(F.col("rejection_code").isNull()).select("guid", "sheet_index", "sheet_name", (header + 2).alias("_from"), sheet.alias("_sheet"), F.posexplode(data).alias("_at", "record"))
+    rows = rows.select("guid", "sheet_index", "sheet_name", (F.col("_from") + F.col("_at")).cast("long").alias("row_number"), "record", F.when(F.col("_at") == 0, F.col("_sheet")).alias("sheet"))
+    return rows.mapInArrow(name_records, f"{ROW_SCHEMA}, kept boolean")
+
+
+def kept_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.filter("kept").drop("kept")
+
+
+def kept_counts(tagged: DataFrame) -> DataFrame:
+    """(guid, sheet_index, source_rows, skipped_wrong_shape) of ``sheet_rows``."""
+    return tagged.groupBy("guid", "sheet_index").agg(F.count_if("kept").alias("source_rows"), F.count_if(~F.col("kept")).alias("skipped_wrong_shape"))
+
+
 RowParser = Callable[[list[str], int, list[str]], dict | list[dict]]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.cells import quote_vote, split_cells, unique_names
+from gridloom.functions.cells import cell_counts, quote_vote, split_cells, unique_names
 from gridloom.functions.text import DELIMITERS, REST, delimiter_char, header_score, let, looks_like_header, once, strip, value_shape
 
 from .sheets import head_tail
@@ -62,7 +62,7 @@ def detect_delimiter(sheets: DataFrame, records: str = "records") -> DataFrame:
     first = F.slice(records, 1, 50)
     out = sheets
     for k, (d, _, _) in enumerate(DELIMITERS):
-        out = out.withColumn(f"_m{k}", once(F.transform(split_cells(first, F.lit(d), F.lit('"')), lambda r: F.size(r))))
+        out = out.withColumn(f"_m{k}", once(cell_counts(first, d)))
     modes = {f"_v{k}": once(mode(F.filter(f"_m{k}", lambda w: w > 1))) for k in range(len(DELIMITERS))}
     out = out.withColumns(modes)
     scored = [

@@ -11,7 +11,7 @@ from gridloom.functions.pii import pii_flags, pii_score, pii_signals, population
 from gridloom.functions.text import format_hint
 from gridloom.operators.batching import balanced_batches
 from gridloom.operators.evaluate import document_outcome, evaluate, sheet_detail
-from gridloom.operators.extract import Parsers, data_cells, extract_rows, extract_with, source_counts
+from gridloom.operators.extract import Parsers, data_cells, extract_with, kept_counts, kept_rows, sheet_rows, source_counts
 from gridloom.operators.layout import find_header, profile_sheets, with_spec
 from gridloom.operators.schema_map import label_columns, map_to_schema
 from gridloom.operators.sheets import head_tail, reject_empty, split_sheets
@@ -70,13 +70,14 @@ def extract(docs: DataFrame, specs: DataFrame | None = None, parsers: Parsers |
     if keep:
         profiles.write.parquet(keep)
         profiles = docs.sparkSession.read.parquet(keep)
-    cells = data_cells(profiles)
+    own = F.coalesce(F.col("shape_hash").isin(*parsers.by_shape), F.lit(False)) if parsers and parsers.by_shape else F.lit(False)
+    tagged = sheet_rows(profiles.filter(~own))
+    rows, counts = kept_rows(tagged), kept_counts(tagged)
     if parsers and parsers.by_shape:
-        shaped = cells.join(profiles.select("guid", "sheet_index", "shape_hash"), ["guid", "sheet_index"])
-        rows = extract_with(shaped, parsers).unionByName(extract_rows(shaped.filter(~F.col("shape_hash").isin(*parsers.by_shape))))
-    else:
-        rows = extract_rows(cells)
-    verdicts = evaluate(rows, source_counts(cells), profiles.filter("rejection_code is null"))
+        cells = data_cells(profiles.filter(own))
+        rows = extract_with(cells.join(profiles.select("guid", "sheet_index", "shape_hash"), ["guid", "sheet_index"]), parsers).unionByName(rows)
+        counts = counts.unionByName(source_counts(cells))
+    verdicts = evaluate(rows, counts, profiles.filter("rejection_code is null"))
     ledger = sheet_ledger(profiles, verdicts)
     return Extraction(rows, profiles, verdicts, ledger, document_outcome(ledger))
 

@@ -696,12 +696,12 @@ def drained_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = jobs.flatten_table(c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]), _block("c_mktsegment", "c_custkey", 5000), F.col("n_name"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
     books.select("guid", "body_text").write.parquet(f"{home}/in")
 
-    def work(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        done = jobs.extract(docs)
+    def work(docs: DataFrame, keep: str) -> tuple[DataFrame, DataFrame]:
+        done = jobs.extract(docs, keep=keep)
         return done.rows, done.documents.select("guid", F.col("outcome").alias("status"))
 
     stream = drain.document_stream(spark, f"{home}/in", "guid string, body_text string", files=4)
-    drain.drain(stream, work, f"{home}/out", f"{home}/verdicts", f"{home}/progress").awaitTermination()
+    drain.drain(stream, work, f"{home}/out", f"{home}/verdicts", f"{home}/progress", hold=f"{home}/hold").awaitTermination()
     return sinks.read_batches(spark, f"{home}/out").groupBy("guid", "sheet_name").agg(F.count(F.lit(1)).alias("n"))
 
 

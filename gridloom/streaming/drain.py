@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,23 +10,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.operators.status import backlog, count_pending, latest_verdict, merge_first, merge_verdicts
+from gridloom.sources.bucketed import remove
 from gridloom.sources.sinks import _exists, write_batch
 
 Extract = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+KeptExtract = Callable[[DataFrame, str], tuple[DataFrame, DataFrame]]
 
 
-def drain(stream: DataFrame, extract: Extract, path: str, verdict_path: str, checkpoint: str) -> StreamingQuery:
+def drain(stream: DataFrame, extract: Extract | KeptExtract, path: str, verdict_path: str, checkpoint: str, hold: str | None = None) -> StreamingQuery:
     """Extract each micro-batch of a document stream: rows first, verdicts after.
 
+    With ``hold``, a folder that the cluster shares, ``extract`` also gets a new folder below it for what both results
+    start from, such as ``jobs.extract``'s ``keep``: the batch's documents are then read once. It is deleted after them.
+
     Both go to the folder of their batch. A crash between the two repeats the batch, which replaces itself, so nothing
     is ever there twice, and what a batch costs does not grow with those before; ``sinks.read_batches`` reads the rows.
     Runs over what is there and stops.
     """
 
     def batch(docs: DataFrame, number: int) -> None:
-        rows, verdicts = extract(docs)
+        folder = f"{hold.rstrip('/')}/{number}-{uuid.uuid4().hex}" if hold else None
+        rows, verdicts = extract(docs, folder) if folder else extract(docs)
         write_batch(rows, path, number)
         write_batch(verdicts, verdict_path, number)
+        if folder:
+            remove(docs.sparkSession, folder)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,11 +1,15 @@
 """Layout detection and extraction on literal sheets."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions.cells import split_cells, unique_names
 from gridloom.functions.text import format_hint, header_score, sheet_slug, value_shape
-from gridloom.operators.extract import Parsers, data_cells, extract_rows, extract_with
+from gridloom.operators.extract import Parsers, data_cells, extract_rows, extract_with, kept_counts, kept_rows, sheet_rows, source_counts
 from gridloom.operators.layout import SPEC_SCHEMA, profile_sheets
+from gridloom.operators.row_kernel import quoted_split
 from gridloom.operators.sheets import split_sheets
 from gridloom.plans.jobs import extract
 
@@ -125,3 +129,30 @@ def test_text_functions(spark):
     assert one(header_score(F.lit("id,name,12"))) == 3.5
     assert one(header_score(F.lit("  "))) == -1.0
     assert one(sheet_slug(F.lit("Q1 / Sales (é)"))) == "Q1_Sales" and one(sheet_slug(F.lit("///"))) == "unnamed"
+
+
+def test_the_kernel_gives_what_column_functions_give(spark):
+    """Over all delimiters, quotes, null tokens, narrow and wide rows, and sheets that end in the middle of a batch."""
+    draw = random.Random(4)
+    cells = ["a", "  b ", '"q"', '"x, y"', '"un', "12", "", "N/A", 'd"d', '"a""b"', '"c"tail', "é\u2003", "column_3", "'z, z'"]
+    docs = []
+    for g in range(60):
+        d, w = draw.choice(",|;\t"), draw.choice([2, 3, 5])
+        body = [d.join(f"h{i}" for i in range(w))] + [d.join(draw.choice(cells) for _ in range(draw.choice([w, w, w, w - 1, w + 2, 1]))) for _ in range(draw.randint(0, 30))]
+        docs.append((str(g), "\n\n".join(body)))
+    profiles = profile_sheets(split_sheets(spark.createDataFrame(docs, "guid string, body_text string").repartition(3)))
+    profiles = profiles.withColumn("null_values", F.when(F.col("guid").cast("int") % 3 == 0, F.array(F.lit("N/A"))).otherwise(F.col("null_values")))
+    flat = lambda df: sorted((r.guid, r.sheet_index, r.sheet_name, r.row_number, r.valid, r.errors, r.extra_values, r.columns, sorted(r.data.items(), key=repr)) for r in df.collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        want, got = flat(extract_rows(data_cells(profiles))), flat(kept_rows(sheet_rows(profiles)))
+        counts = [sorted(map(tuple, f.collect())) for f in (source_counts(data_cells(profiles)), kept_counts(sheet_rows(profiles)))]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and len(got) > 300 and counts[0] == counts[1] and any(c[3] for c in counts[0])
+
+
+@pytest.mark.parametrize("record", ['1,"a, b",c', 'x,y"z,"', 'p,"open, q', "", ",", '"",""', '"a""b",c', '"c"tail,d', '"""x"""', "a,", '"'])
+def test_the_kernel_quotes_as_the_pattern_does(spark, record):
+    want = spark.createDataFrame([([record],)], "r array<string>").select(split_cells(F.col("r"), F.lit(","), F.lit('"'))).first()[0][0]
+    assert quoted_split(record, ",", '"') == want
