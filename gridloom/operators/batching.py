@@ -60,15 +60,31 @@ def global_rank(df: DataFrame, order: list) -> DataFrame:
     return inner.join(F.broadcast(before.drop("_size")), "_part").withColumn("_rank", F.col("_before") + F.col("_n") - 1).drop("_part", "_n", "_before")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder that the cluster shares and read back."""
+def global_slice(df: DataFrame, order: list, offset: int, n: int | None) -> DataFrame:
+    """``df`` from rank ``offset`` on, ``n`` rows or all, with ``_rank``. Of the range partitions, written to a folder each,
+    only those that hold the slice are read again; what the driver sees is a count for each partition."""
+    ranged = _written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "_part")
+    sizes = sorted(map(tuple, ranged.groupBy("_part").agg(F.count(F.lit(1))).collect()))
+    starts, before, end = [], 0, None if n is None else offset + n
+    for part, size in sizes:
+        if before + size > offset and (end is None or before < end):
+            starts.append((part, before))
+        before += size
+    held = ranged.filter(F.col("_part").isin([p for p, _ in starts]))
+    inner = held.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    ranked = inner.join(F.broadcast(df.sparkSession.createDataFrame(starts, "_part int, _before long")), "_part").withColumn("_rank", F.col("_before") + F.col("_n") - 1)
+    return ranked.filter((F.col("_rank") >= offset) & (F.lit(True) if end is None else F.col("_rank") < end)).select(*[F.col(f"`{c}`") for c in df.columns], "_rank")
+
+
+def _written(df: DataFrame, folders: str | None = None) -> DataFrame:
+    """``df`` written to the folder that the cluster shares, below a folder for each value of ``folders``, and read back."""
     root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not df.sparkSession.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
         root = tempfile.mkdtemp(prefix="gridloom-")
     path = f"{root.rstrip('/')}/gridloom/ranged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(folders) if folders else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

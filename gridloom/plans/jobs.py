@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.pii import pii_flags, pii_score, pii_signals, population_status, refined_flags
@@ -16,12 +17,13 @@ from gridloom.operators.layout import find_header, profile_sheets, with_spec
 from gridloom.operators.schema_map import label_columns, map_to_schema
 from gridloom.operators.sheets import head_tail, reject_empty, split_sheets
 from gridloom.operators.status import backlog, fetch_bodies, gate_document_type, merge_population, status_counts, with_title
-from gridloom.sources.readers import scan_population
+from gridloom.sources.bucketed import exists, remove
+from gridloom.sources.readers import scan_population, spread
 
 
 def scored(docs: DataFrame, text: str = "body_text") -> DataFrame:
     """``docs`` with pii_score, pii_signals and status. The nine tests run once, in a projection of their own."""
-    flagged = docs.withColumn("_flags", pii_flags(F.coalesce(F.col(text), F.lit(""))))
+    flagged = spread(docs).withColumn("_flags", pii_flags(F.coalesce(F.col(text), F.lit(""))))
     return flagged.withColumns({"pii_score": pii_score(F.col("_flags")), "pii_signals": pii_signals(F.col("_flags")), "status": population_status(pii_score(F.col("_flags")))}).drop("_flags")
 
 
@@ -32,21 +34,25 @@ def select_population(source: DataFrame, status: DataFrame, category: str | None
     return merged, status_counts(merged)
 
 
-def gate_no_pii(docs: DataFrame, text: str = "body_text") -> tuple[DataFrame, DataFrame]:
-    """(passed, rejected with NO_PII_SIGNAL) by the precise checks."""
-    flagged = docs.withColumn("_score", pii_score(refined_flags(F.coalesce(F.col(text), F.lit("")))))
+def gate_no_pii(docs: DataFrame, text: str = "body_text", keep: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(passed, rejected with NO_PII_SIGNAL) by the precise checks. Each side runs them unless ``keep``, a new folder that
+    the cluster shares, may hold the scored documents."""
+    flagged = spread(docs).withColumn("_score", pii_score(refined_flags(F.coalesce(F.col(text), F.lit("")))))
+    if keep:
+        flagged.write.parquet(keep)  # the patterns run once for both sides
+        flagged = docs.sparkSession.read.parquet(keep)
     return flagged.filter("_score > 0").drop("_score"), flagged.filter("_score = 0").drop("_score").withColumn("rejection_code", F.lit("NO_PII_SIGNAL"))
 
 
 def look(docs: DataFrame, specs: DataFrame | None = None) -> DataFrame:
     """Layout reports for every sheet of the documents, detected or as a spec table says."""
-    found = profile_sheets(split_sheets(docs))
+    found = profile_sheets(split_sheets(spread(docs)))
     return found if specs is None else with_spec(found, specs)
 
 
 def inspect(docs: DataFrame) -> DataFrame:
     """(guid, sheet_index, sheet_name, format_hint, header_guess, sampled): what a slice of each sheet shows."""
-    sliced = head_tail(reject_empty(split_sheets(docs)).filter("rejection_code is null"))
+    sliced = head_tail(reject_empty(split_sheets(spread(docs))).filter("rejection_code is null"))
     lines = F.transform("sample", lambda x: x["record"])
     return sliced.select("guid", "sheet_index", "sheet_name", format_hint(lines).alias("format_hint"), find_header(lines).alias("header_guess"), F.size("sample").alias("sampled"))
 
@@ -91,7 +97,7 @@ def sheet_ledger(profiles: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def sheet_pii(docs: DataFrame) -> DataFrame:
     """(guid, sheet_index, pii_score, pii_signals) of each sheet's records, whatever became of the sheet."""
-    sheets = split_sheets(docs).withColumn("_flags", refined_flags(F.array_join("records", "\n\n")))
+    sheets = split_sheets(spread(docs)).withColumn("_flags", refined_flags(F.array_join("records", "\n\n")))
     return sheets.select("guid", "sheet_index", pii_score(F.col("_flags")).alias("pii_score"), pii_signals(F.col("_flags")).alias("pii_signals"))
 
 
@@ -99,13 +105,58 @@ def corpus_run(source: DataFrame, verdicts: DataFrame, labels: DataFrame, target
     """(batches of the backlog, extraction of what passes both gates, outcomes of rejected documents too)."""
     todo = balanced_batches(backlog(source, verdicts, ["pending"]), "body_length", target)
     bodies = fetch_bodies(source, todo)
-    passed, no_pii = gate_no_pii(bodies)
+    passed, no_pii = gate_no_pii(bodies, keep=f"{keep.rstrip('/')}/scored" if keep else None)
     passed, skipped = gate_document_type(passed, labels)
-    done = extract(passed, keep=keep)
+    done = extract(passed, keep=f"{keep.rstrip('/')}/profiles" if keep else None)
     rejected = no_pii.select("guid", "rejection_code").unionByName(skipped.select("guid", "rejection_code")).select("guid", F.lit("error_rejected").alias("outcome"), F.col("rejection_code").alias("reason"))
     return todo, done, done.documents.select("guid", "outcome", "reason").unionByName(rejected)
 
 
+def run_in_bins(source: DataFrame, verdicts: DataFrame, labels: DataFrame, root: str, target: int = 1_000_000) -> DataFrame:
+    """``corpus_run`` bin by bin below ``root``, a folder that the cluster shares; what ``bins`` says of it in the end.
+
+    The bins of the backlog are written once, so a run that is started again goes on with those of the first. A bin's
+    rows and outcomes go to its own folders and its entry in ``progress`` comes last: a bin that was cut off is done again
+    from the start and replaces itself, a finished one is never touched. Choose ``target`` documents so that a bin keeps
+    the cluster busy for some minutes.
+    """
+    spark, root = source.sparkSession, root.rstrip("/")
+    if not exists(spark, f"{root}/plan/_SUCCESS"):
+        balanced_batches(backlog(source, verdicts, ["pending"]), "body_length", target).write.mode("overwrite").parquet(f"{root}/plan")
+    plan = spark.read.parquet(f"{root}/plan")
+    done = {r[0] for r in bins(spark, root).select("batch").collect()}
+    for n in sorted(r[0] for r in plan.select("batch").distinct().collect()):  # few: a bin is a job of minutes
+        if n not in done:
+            _run_bin(source, labels, plan.filter(F.col("batch") == n), root, n)
+    return bins(spark, root)
+
+
+def _run_bin(source: DataFrame, labels: DataFrame, guids: DataFrame, root: str, n: int) -> None:
+    work = f"{root}/work/{n}-{uuid.uuid4().hex}"
+    passed, no_pii = gate_no_pii(fetch_bodies(source, guids), keep=f"{work}/scored")
+    passed, skipped = gate_document_type(passed, labels)
+    done = extract(passed, keep=f"{work}/profiles")
+    rejected = no_pii.select("guid", "rejection_code").unionByName(skipped.select("guid", "rejection_code"))
+    outcomes = done.documents.select("guid", "outcome", "reason").unionByName(rejected.select("guid", F.lit("error_rejected").alias("outcome"), F.col("rejection_code").alias("reason")))
+    done.rows.write.mode("overwrite").parquet(f"{root}/rows/batch={n}")
+    outcomes.write.mode("overwrite").parquet(f"{root}/outcomes/batch={n}")
+    spark = source.sparkSession
+    spark.read.parquet(f"{root}/outcomes/batch={n}").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("outcome") == "complete").alias("complete")).write.mode("overwrite").parquet(f"{root}/progress/batch={n}")
+    remove(spark, work)
+
+
+def bins(spark: SparkSession, root: str) -> DataFrame:
+    """(batch, documents, complete) of the finished bins of ``run_in_bins``."""
+    if not exists(spark, f"{root}/progress"):
+        return spark.createDataFrame([], "batch int, documents long, complete long")
+    return spark.read.schema("documents long, complete long, batch int").parquet(f"{root}/progress").filter("documents is not null").select("batch", "documents", "complete")
+
+
+def binned(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The ``rows`` or ``outcomes`` of the finished bins."""
+    return spark.read.parquet(f"{root}/{name}").join(F.broadcast(bins(spark, root).select("batch")), "batch", "left_semi")
+
+
 def map_extraction(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """An extraction under canonical field names."""
     columns = rows.select("guid", "sheet_index", F.posexplode("columns").alias("position", "column_name")).groupBy("guid", "sheet_index", "column_name").agg(F.min("position").alias("position"))

@@ -314,7 +314,7 @@ def pii_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def pii_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The precise checks; tests hold them against plain Python."""
-    d = table(spark, sf_dir, "documents").withColumn("_f", pii.refined_flags(F.col("text")))
+    d = readers.spread(table(spark, sf_dir, "documents"), "doc_id").withColumn("_f", pii.refined_flags(F.col("text")))
     return d.select("doc_id", pii.pii_score(F.col("_f")).alias("pii_score"), pii.pii_signals(F.col("_f")).alias("pii_signals"))
 
 

@@ -22,6 +22,21 @@ HEADER_FLAGS = [
 ]
 
 
+#: Bytes that a core should have to read before the scan's own tasks, a row group each at most, are taken as they are.
+BYTES_PER_CORE = 128 << 20
+
+
+def spread(docs: DataFrame, key: str = "guid") -> DataFrame:
+    """``docs`` for work that costs far more than a shuffle, such as patterns over whole texts.
+
+    A row group is one task however many cores are idle. Where the plan expects fewer bytes than ``BYTES_PER_CORE`` for
+    each core, the rows are dealt out by ``key`` over all of them; a larger table is read as it lies, without a shuffle.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    expected = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return docs.repartition(2 * cores, key) if expected < BYTES_PER_CORE * cores else docs
+
+
 def scan_population(source: DataFrame, category: str | None = None, limit: int | None = None) -> DataFrame:
     """Documents of a triage category that have a body; both tests reach the Parquet scan."""
     rows = source.filter(F.col("body_text").isNotNull() & (F.col("body_length") > 0))
@@ -35,21 +50,15 @@ def sample_documents(source: DataFrame, n: int, seed: int = 0, min_length: int =
 
 
 def table_as_records(df: DataFrame, order: list[str], n: int | None = None, offset: int = 0, delimiter: str = ",") -> DataFrame:
-    """(line, record): a table as delimited text, its header at line 0; nulls are empty."""
-    rows = df.orderBy(*order).offset(offset)
-    rows = rows if n is None else rows.limit(n)
+    """(line, record): a table, or ``n`` of its rows from ``offset`` on, as delimited text, its header at line 0; nulls are
+    empty. A slice is found by the range partitions' counts and reads no partition but its own."""
     text = F.array_join(F.array(*[F.col(c).cast("string") for c in df.columns]), delimiter, "")
     head = df.sparkSession.createDataFrame([(0, delimiter.join(df.columns))], "line long, record string")
-    from gridloom.operators.batching import global_rank
-
-    numbered = global_rank(rows, [F.asc(c) for c in order]) if n is None else rows.withColumn("_rank", F.row_number().over(_by(order)) - 1)
-    return head.unionByName(numbered.select((F.col("_rank") + 1).cast("long").alias("line"), text.alias("record")))
-
-
-def _by(order: list[str]):
-    from pyspark.sql.window import Window
+    from gridloom.operators.batching import global_rank, global_slice
 
-    return Window.orderBy(*order)
+    by = [F.asc(c) for c in order]
+    numbered = global_rank(df, by) if n is None and not offset else global_slice(df, by, offset, n)
+    return head.unionByName(numbered.select((F.col("_rank") + 1 - offset).cast("long").alias("line"), text.alias("record")))
 
 
 def read_text_documents(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import text
 from gridloom.operators import evaluate, extract, layout, schema_map, sheets, status
-from gridloom.queries import STATUS, _shared, long_rows, query, status_table, table, verdict_table, workbooks
+from gridloom.plans import jobs
+from gridloom.queries import FLAG_SQL, LEDGER, SCORE_SQL, STATUS, _ledger, _shared, long_rows, query, source_docs, status_table, table, verdict_table, workbooks
 from gridloom.sources import readers, sinks
 from gridloom.sources.bucketed import BucketedTable
 from gridloom.streaming import drain
@@ -347,3 +348,76 @@ def many_wide_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_wide_by_shape(rows, path)
     found = spark.read.parquet(path).groupBy("shape").agg(F.count("name").alias("rows"))
     return sinks.wide_shapes(spark, path).select("shape", F.to_json("names").alias("names")).join(found, "shape").select("shape", "names", "rows")
+
+
+# ---- whole jobs ------------------------------------------------------------------------------------------------------
+
+
+def _files_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixty documents for each block of 10,000 customers: those of even numbers name a personal number, and of these every
+    third is prose without a table."""
+    c = table(spark, sf_dir, "customer").withColumn("k", F.col("c_custkey") % 60 + F.floor(F.col("c_custkey") / 10_000) * 60)
+    book = lambda rows, name: jobs.flatten_table(rows.select("k", F.col("c_custkey").alias(name), F.col("c_name").alias("name")), F.col("k").cast("string"), F.lit("people"), F.col(name), [name, "name"])
+    prose = c.filter("k % 6 = 0").select(F.col("k").cast("string").alias("guid")).distinct().withColumn("body_text", F.lit("the ssn report\n\nnothing here\n\nno table either"))
+    prose = prose.withColumns({"title": F.col("guid"), "body_length": F.octet_length("body_text").cast("long")})
+    docs = book(c.filter("k % 2 = 0 and k % 6 > 0"), "ssn").unionByName(book(c.filter("k % 2 = 1"), "code")).unionByName(prose)
+    return docs.withColumn("status", F.lit("pending"))
+
+
+OUTCOMES = """
+    WITH keys AS (SELECT DISTINCT c_custkey % 60 + c_custkey // 10000 * 60 AS k FROM customer)
+    SELECT CAST(k AS VARCHAR) AS guid, CASE WHEN k % 2 = 1 OR k % 5 = 0 OR k % 6 = 0 THEN 'error_rejected' ELSE 'complete' END AS outcome,
+        CASE WHEN k % 2 = 1 THEN 'NO_PII_SIGNAL' WHEN k % 5 = 0 THEN 'SKIPPED_DOCUMENT_TYPE' WHEN k % 6 = 0 THEN 'NO_DELIMITER_FOUND' END AS reason
+    FROM keys WHERE k % 7 > 0
+"""
+
+
+def _gates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Verdicts that every seventh document has, and the genres of all."""
+    k = F.col("guid").cast("long")
+    return docs.filter(k % 7 == 0).select("guid"), docs.select("guid", F.when(k % 5 == 0, "meeting notes or agenda").otherwise("other").alias("document_type"))
+
+
+@query(OUTCOMES)
+def corpus_in_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus run in committed bins: the backlog, both gates, rejected sheets, an outcome for each document."""
+    home = _shared(spark)
+    _files_of(spark, sf_dir).write.parquet(f"{home}/in")
+    docs = spark.read.parquet(f"{home}/in")
+    verdicts, labels = _gates(docs)
+    jobs.run_in_bins(docs, verdicts, labels, f"{home}/run", target=30)
+    return jobs.binned(spark, f"{home}/run", "outcomes").select("guid", "outcome", "reason")
+
+
+@query(OUTCOMES)
+def corpus_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run as one plan."""
+    docs = _files_of(spark, sf_dir)
+    verdicts, labels = _gates(docs)
+    return jobs.corpus_run(docs, verdicts, labels, target=20, keep=f"{_shared(spark)}/work")[2]
+
+
+@query(STATUS + f", d AS (SELECT CAST(doc_id AS VARCHAR) AS guid, CASE WHEN doc_id % 2 = 0 THEN 'Document: T' || lang || chr(10) || chr(10) || text ELSE text END AS t FROM documents WHERE n_chars > 0 AND source = 'src1'), f AS (SELECT guid, {FLAG_SQL} FROM d), n AS (SELECT guid, CASE WHEN {SCORE_SQL} > 0 THEN 'pending' ELSE 'excluded_no_pii' END AS status FROM f) SELECT guid, CASE WHEN n.guid IS NOT NULL AND s.status IN ('pending', 'needs_llm_review', 'excluded_no_pii') THEN n.status ELSE s.status END AS status FROM status s LEFT JOIN n USING (guid)")
+def population_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one source scanned, scored and merged into the status table."""
+    return jobs.select_population(source_docs(spark, sf_dir), status_table(spark, sf_dir), "src1")[0].select("guid", "status")
+
+
+@query(LEDGER + "SELECT guid, sheet_index, sheet_name, status FROM ledger WHERE guid = '3'")
+def sheets_of_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.sheets_for(_ledger(spark, sf_dir), "3").select("guid", "sheet_index", "sheet_name", "status")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS guid, CASE WHEN c_custkey % 3 > 0 THEN CAST(c_custkey AS BIGINT) END AS row_number, c_custkey % 2 = 0 AS valid, '{\"n\":' || CAST(c_nationkey AS VARCHAR) || '}' AS place FROM customer")
+def coerced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of whatever types as the writers take them."""
+    c = table(spark, sf_dir, "customer")
+    number = F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey").cast("string")).otherwise("none")
+    rows = c.select(F.col("c_custkey").alias("guid"), number.alias("row_number"), F.when(F.col("c_custkey") % 2 == 0, "true").otherwise("false").alias("valid"), F.struct(F.col("c_nationkey").alias("n")).alias("place"))
+    return sinks.coerce_output(rows)
+
+
+@query("SELECT 0 AS line, 'o_orderkey,o_orderstatus' AS record UNION ALL SELECT k - 100, record FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS k, CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus AS record FROM orders) WHERE k > 100 AND k <= 1100")
+def order_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand lines from the hundredth on; the slice is the operator."""
+    return readers.table_as_records(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], n=1000, offset=100)
