@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-import heapq
+import bisect
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows placed one by one for each batch; the rest follow by rank.
+#: Rows for each batch, the largest, that go to the lightest batch; the rest follow by rank.
 HEAD_PER_BATCH = 20
-#: More than so many rows are not placed one by one; all then go by rank.
-MOST_HEAD = 10_000
+#: Sizes of one class differ by less than this factor.
+CLASS_WIDTH = 1.01
+#: Batches that one row of a plan stands for at most.
+PLANNED = 10_000
 
 
 def n_batches(n: int, target: int) -> int:
@@ -23,29 +26,57 @@ def n_batches(n: int, target: int) -> int:
 def balanced_batches(df: DataFrame, size: str, target: int, key: str = "guid") -> DataFrame:
     """``df`` (key, size) with ``batch``: about ``target`` rows each and nearly equal sums of ``size``.
 
-    Rows go back and forth over the batches by their global rank, which is a range partition's own rank plus the rows
-    in earlier partitions, never one sort in a single task; batches so differ by the largest row at most. Where the
-    batches are few, their largest rows go one by one to the lightest batch before; that is ``MOST_HEAD`` rows at most,
-    whatever the number of rows, and is placed on the driver. Rows are told apart by rank, so keys may repeat.
+    The largest rows, some for each batch, go to the lightest batch, the rest back and forth over the batches by their
+    global rank, the lightest first. Which batch is lightest follows from a histogram of size classes: ``head_plan`` deals
+    the counts of a class to groups of equally loaded batches, so what the driver holds is bounded by the number of
+    classes, whatever the number of rows and batches. Batches differ by about the largest row at most. Ranks come from a
+    range partition's own rank plus the rows in earlier partitions. Rows are told apart by rank, so keys may repeat.
     """
     ranked = _written(global_rank(df, [F.desc(size), F.asc(key)]))
-    batches = n_batches(ranked.count(), target)
-    head = HEAD_PER_BATCH * batches if HEAD_PER_BATCH * batches <= MOST_HEAD else 0
+    n = ranked.count()
+    batches = n_batches(n, target)
+    head = min(n, HEAD_PER_BATCH * batches)
+    group = F.when(F.col(size) >= 1, F.floor(F.log(F.col(size).cast("double")) / math.log(CLASS_WIDTH))).otherwise(-1)
+    classes = ranked.filter(F.col("_rank") < head).groupBy(group.alias("c")).agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col(size).cast("double")), F.lit(0.0))).orderBy(F.desc("c")).collect()
+    placed, order = head_plan([(r[1], r[2] / r[1]) for r in classes], batches)
+    fixed = _each(df.sparkSession, placed, "_rank")
     turn, at = F.floor((F.col("_rank") - head) / batches), (F.col("_rank") - head) % batches
-    place = F.when(turn % 2 == 0, at).otherwise(batches - 1 - at).cast("int")
-    if not head:
-        return ranked.withColumn("batch", place).select(*df.columns, "batch")
-    loads = [(0, b) for b in range(batches)]
-    placed = []
-    for rank, n in ranked.filter(F.col("_rank") < head).orderBy("_rank").select("_rank", size).collect():
-        load, b = heapq.heappop(loads)
-        heapq.heappush(loads, (load + (n or 0), b))
-        placed.append((rank, b))
-    spark = df.sparkSession
-    fixed = F.broadcast(spark.createDataFrame(placed, "_rank long, batch int"))
-    lightest_first = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(sorted(loads))], "_place int, batch int")
-    rest = ranked.filter(F.col("_rank") >= head).withColumn("_place", place).join(F.broadcast(lightest_first), "_place")
-    return ranked.join(fixed, "_rank").select(*df.columns, "batch").unionByName(rest.select(*df.columns, "batch"))
+    place = F.when(turn % 2 == 0, at).otherwise(batches - 1 - at)
+    rest = ranked.filter(F.col("_rank") >= head).withColumn("_place", place).join(_each(df.sparkSession, order, "_place"), "_place")
+    return ranked.filter(F.col("_rank") < head).join(fixed, "_rank").select(*df.columns, "batch").unionByName(rest.select(*df.columns, "batch"))
+
+
+def head_plan(classes: list[tuple[int, float]], batches: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Where rows of ``classes`` (count, mean size; largest first) go, and the order of the batches after them, lightest
+    first: each as runs (first rank or place, first batch, length).
+
+    Batches of one load are a group, an interval of numbers. A class gives a row to each batch of the lightest group,
+    then of the next; only the group that it runs out in is split, so there are as many groups as classes at most.
+    """
+    groups = [(0.0, 0, batches)]  # load, first batch, how many; lightest first
+    placed, rank = [], 0
+    for count, mean in classes:
+        while count:
+            load, first, many = groups.pop(0)
+            taken = min(count, many)
+            placed.append((rank, first, taken))
+            if taken < many:
+                groups.insert(0, (load, first + taken, many - taken))
+            bisect.insort(groups, (load + mean, first, taken))
+            rank, count = rank + taken, count - taken
+    order, at = [], 0
+    for _, first, many in groups:
+        order.append((at, first, many))
+        at += many
+    return placed, order
+
+
+def _each(spark: SparkSession, runs: list[tuple[int, int, int]], name: str) -> DataFrame:
+    """(``name``, batch) for every place of ``runs``, made by Spark from a row for each piece of a run."""
+    cut = [(at + k, first + k, min(PLANNED, many - k)) for at, first, many in runs for k in range(0, many, PLANNED)]
+    pieces = spark.createDataFrame(cut, "at long, first long, many long")
+    each = pieces.select("at", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)).alias("k"))
+    return each.select((F.col("at") + F.col("k")).alias(name), (F.col("first") + F.col("k")).cast("int").alias("batch"))
 
 
 def global_rank(df: DataFrame, order: list) -> DataFrame:

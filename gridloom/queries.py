@@ -452,6 +452,14 @@ def size_balanced_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.balanced_batches(d, "body_length", 100)
 
 
+@query("SELECT CAST(ceil(count(*) / 100.0) AS BIGINT) AS batches, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS bytes, true AS balanced FROM documents")
+def batches_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all batches hold, and whether the heaviest and the lightest differ by the largest document at most."""
+    made = size_balanced_batches(spark, sf_dir).groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum("body_length").alias("s"), F.max("body_length").alias("largest"))
+    spread = (F.max("s") - F.min("s")) <= 1.05 * F.max("largest")
+    return made.agg(F.count(F.lit(1)).alias("batches"), F.sum("n").alias("documents"), F.sum("s").cast("long").alias("bytes"), spread.alias("balanced"))
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS guid, CAST(o_custkey AS BIGINT) AS row_number, 2 AS generation FROM orders")
 def corpus_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")

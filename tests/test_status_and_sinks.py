@@ -128,14 +128,31 @@ def test_rows_of_one_key_are_placed_once(spark):
     assert sorted(got) == sorted(tuple(r) for r in d.collect())
 
 
-def test_many_batches_need_no_driver(spark, monkeypatch):
+def test_batches_of_even_sizes_have_even_counts(spark):
     d = spark.range(3000).select(F.col("id").cast("string").alias("guid"), (F.col("id") * 7 % 997).alias("body_length"))
-    monkeypatch.setattr(batching, "MOST_HEAD", 100)
-    monkeypatch.setattr(batching.heapq, "heappop", None)
     got = batching.balanced_batches(d, "body_length", 100).groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum("body_length").alias("s")).collect()
     assert len(got) == 30 and {r.n for r in got} == {100} and max(r.s for r in got) - min(r.s for r in got) <= 997
 
 
+@pytest.mark.parametrize("batches", [1, 10, 500, 501, 5000])
+def test_batches_differ_by_the_largest_row_at_most_whatever_their_number(spark, batches):
+    """Heavy-tailed sizes, a null and zeros among them."""
+    n = batches * 30
+    length = F.floor(F.pow(F.lit(1_000_003) / (1 + F.pmod(F.xxhash64("id"), F.lit(1_000_003))), F.lit(0.7))).cast("long")
+    d = spark.range(n).select(F.col("id").cast("string").alias("guid"), F.when(F.col("id") % 50 == 0, 0).when(F.col("id") > 0, length).alias("body_length"))
+    got = batching.balanced_batches(d, "body_length", 30).groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum("body_length").alias("s")).collect()
+    most = d.agg(F.max("body_length")).first()[0]
+    assert sorted(r.batch for r in got) == list(range(batches)) and sum(r.n for r in got) == n
+    assert max(r.s for r in got) - min(r.s for r in got) <= 1.05 * most
+
+
+def test_the_plan_of_the_head_is_bounded_by_the_classes():
+    classes = [(10**6 + 7 * i, 1.01 ** (500 - i)) for i in range(500)]
+    placed, order = batching.head_plan(classes, 10**7 + 3)
+    assert sum(m for _, _, m in placed) == sum(c for c, _ in classes) and len(order) <= 501 and len(placed) <= 51 * 501
+    assert sorted(f for _, f, _ in order)[0] == 0 and sum(m for _, _, m in order) == 10**7 + 3
+
+
 def test_rejected_is_not_failed(spark):
     st = spark.createDataFrame([("a", "complete", None), ("b", "complete", None)], "guid string, status string, error_message string")
     led = spark.createDataFrame([("a", "rejected"), ("b", "failed")], "guid string, status string")
