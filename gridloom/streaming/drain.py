@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.operators.status import backlog, count_pending, latest_verdict, merge_first, merge_verdicts
-from gridloom.sources.bucketed import remove
+from gridloom.sources.bucketed import BucketedTable, remove
 from gridloom.sources.sinks import _exists, write_batch
 
 Extract = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
@@ -66,6 +66,27 @@ def flush_verdicts(stream: DataFrame, status_path: str, checkpoint: str) -> Stre
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def flush_into(stream: DataFrame, table: BucketedTable, checkpoint: str) -> StreamingQuery:
+    """Merge new verdicts into a kept status table: a batch reads and replaces the buckets of its guids only, and no log
+    grows. The table keeps the time of each guid's verdict, so one that comes late, or again, changes nothing newer."""
+
+    def batch(verdicts: DataFrame, number: int) -> None:
+        last = latest_verdict(verdicts)
+        if not last.isEmpty():
+            table.refresh().replace(last, newer_verdicts)
+            table.vacuum()
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def newer_verdicts(status: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """``merge_verdicts`` of those that are no older than what ``status`` has, whose staged_at they set."""
+    if "staged_at" not in status.columns:
+        status = status.withColumn("staged_at", F.lit(None).cast(verdicts.schema["staged_at"].dataType))
+    known = verdicts.join(status.select("guid", F.col("staged_at").alias("_known")), "guid", "left")
+    return merge_verdicts(status, known.filter(F.col("_known").isNull() | (F.col("staged_at") >= F.col("_known"))).drop("_known"))
+
+
 def read_status(spark: SparkSession, status_path: str) -> DataFrame:
     """The base of a status table with what its log says last of each guid."""
     root = status_path.rstrip("/")

@@ -350,6 +350,19 @@ def many_wide_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.wide_shapes(spark, path).select("shape", F.to_json("names").alias("names")).join(found, "shape").select("shape", "names", "rows")
 
 
+@query(STATUS + "SELECT guid, coalesce(v.status, s.status) AS status, CASE WHEN v.status IS NULL THEN s.error_message ELSE v.error_message END AS error_message, v.status IS NOT NULL AS judged FROM status s FULL JOIN verdicts v USING (guid)")
+def verdicts_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the second day streamed into a kept status table, then those of the first day, which come too late."""
+    home = _shared(spark)
+    kept = BucketedTable(spark, f"{home}/status", 8).write(status_table(spark, sf_dir))
+    v = verdict_table(spark, sf_dir)
+    early, late = (v.withColumn("staged_at", F.lit(f"2024-01-0{n} 00:00:00").cast("timestamp")) for n in (1, 2))
+    for part in (late, early.withColumn("status", F.lit("error_pipeline"))):
+        part.write.mode("append").parquet(f"{home}/verdicts")
+        drain.flush_into(spark.readStream.schema(part.schema).parquet(f"{home}/verdicts"), kept, f"{home}/progress").awaitTermination()
+    return kept.refresh().read().select("guid", "status", "error_message", F.col("staged_at").isNotNull().alias("judged"))
+
+
 # ---- whole jobs ------------------------------------------------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ from gridloom.operators import status
 from gridloom.sources import sinks
 from gridloom.sources.bucketed import BucketedTable
 from gridloom.sources.files import ParquetFile
+from gridloom.streaming import drain
 
 
 @pytest.fixture
@@ -104,3 +105,16 @@ def test_a_file_that_fails_does_not_appear(tmp_path):
     with pytest.raises(ZeroDivisionError), ParquetFile(f"{tmp_path}/x/part.parquet", pa.schema([("a", pa.int64())])):
         1 / 0  # noqa: B018
     assert not list((tmp_path / "x").iterdir())
+
+
+def test_a_stream_keeps_the_last_verdict_and_no_log(spark, tmp_path, kept):
+    schema = "guid string, status string, error_message string, staged_at int"
+    runs = [[("1", "error_pipeline", "x", 5), ("1", "complete", None, 6), ("2", "complete", None, 5)], [("1", "error_pipeline", "late", 3), ("2", "error_extraction", "y", 9)], [("1", "complete", None, 6), ("new", "complete", None, 1)]]
+    for rows in runs:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "v"))
+        drain.flush_into(spark.readStream.schema(schema).parquet(str(tmp_path / "v")), kept, str(tmp_path / "cp")).awaitTermination()
+    kept.refresh()
+    got = {r.guid: (r.status, r.error_message, r.staged_at) for r in kept.read().filter("staged_at is not null").collect()}
+    assert got == {"1": ("complete", None, 6), "2": ("error_extraction", "y", 9), "new": ("complete", None, 1)} and kept.read().count() == 401
+    kept.vacuum(keep=1)
+    assert len(list((tmp_path / "kept/data").rglob("*.parquet"))) == 8
