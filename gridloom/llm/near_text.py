@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import joins_within_partitions, packed, spread, staged, unpacked
-from .simhash import first_rows, shingle_hashes
+from .shared import bucketed, joins_within_partitions, packed, spread, staged, unpacked
+from .simhash import shingle_hashes
 
 SEGMENTS, WIDTH, QUARTER = 16, 16, 4
 WORDS = SEGMENTS * WIDTH // 64
@@ -61,7 +61,7 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
 
 def sketched(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc: struct of all columns, id, fp: hash of the shingle set, size: shingles in it, bits: none for an empty set)."""
+    """(row: a number, doc: struct of all columns, id, fp: hash of the shingle set, size: shingles in it, bits: none for an empty set)."""
 
     @F.pandas_udf(T.StructType([T.StructField("set", T.LongType()), T.StructField("size", T.LongType()), T.StructField("bits", T.ArrayType(T.LongType()))]))
     def sketch(texts: pd.Series) -> pd.DataFrame:
@@ -73,7 +73,7 @@ def sketched(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col:
         return pd.DataFrame({"set": pd.Series(sets, dtype="int64"), "size": pd.Series(sizes, dtype="int64"), "bits": pd.Series(bits, dtype=object)})
 
     made = packed(docs).withColumn("s", sketch(F.col("doc")[text_col]))
-    return made.select("doc", F.col("doc")[id_col].alias("id"), F.col("s.set").alias("fp"), "s.size", "s.bits")
+    return made.select(F.monotonically_increasing_id().alias("row"), "doc", F.col("doc")[id_col].alias("id"), F.col("s.set").alias("fp"), "s.size", "s.bits")
 
 
 def segments(sets: DataFrame) -> DataFrame:
@@ -118,11 +118,11 @@ def close_pairs(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     return staged(pairs.join(bits("a"), "a").join(bits("b"), "b").filter(apart <= MOST_ALL).select("a", "b"), "close_pairs")
 
 
-def texts_of(pairs: DataFrame, marked: DataFrame, text_col: str) -> DataFrame:
-    """(fp, text) for the sets of ``pairs``. The semi-join shuffles all rows unless the wanted sets are few enough to be broadcast."""
+def texts_of(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, text_col: str) -> DataFrame:
+    """(fp, text) for the sets of ``pairs``. Only the numbers of their rows are shuffled."""
     wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    rows = marked.select("fp", F.col("doc")[text_col].alias("text"))
-    return staged(rows.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("text").alias("text")), "candidate_texts")
+    rows = distinct.select("fp", "row").join(wanted, "fp")
+    return staged(marked.select("row", F.col("doc")[text_col].alias("text")).join(rows.hint("shuffle_hash"), "row").select("fp", "text"), "candidate_texts")
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
@@ -151,7 +151,7 @@ def lone_shingles(texts: DataFrame, words: int) -> DataFrame:
 def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float, words: int, text_col: str = "text") -> DataFrame:
     """(fp, component): components of the graph that links sets of ``similarity`` or more.
 
-    ``distinct`` (fp, size, bits) holds each set once. Three rounds keep the number of texts that are compared linear
+    ``distinct`` (fp, row, size, bits) holds each set once, with one of its rows in ``marked``. Three rounds keep the number of texts that are compared linear
     where many texts are edits of one. In the first, each set is compared with one other: of its predecessors, in bit
     order, among sets with a whole segment in common, that which it meets most often. The sets that are close to
     theirs are candidates for large groups; their shingles are counted. In the second, each of them is compared with
@@ -171,7 +171,7 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
 
     keyed = segments(spread(distinct.select("fp", "size", "bits"), 8192)).select("fp", "size", F.col("bits")[0].alias("bit"), "part")
     before = met_most(keyed.withColumn("o", F.lag(F.struct("fp", "size", "bit")).over(Window.partitionBy("part").orderBy("bit", "fp"))))
-    texts = texts_of(before, marked, text_col)
+    texts = texts_of(before, distinct, marked, text_col)
     lone = lone_shingles(texts, words)
     counted = segments(spread(distinct.select("fp", "size", "bits").join(lone, "fp"), 8192)).select("part", "fp", "size", F.col("bits")[0].alias("bit"), (-F.col("lone") / F.col("size")).alias("shared"))
     hubs = met_most(variants(counted, lone.count()).withColumn("o", F.max(F.struct("shared", "size", "fp", "bit")).over(Window.partitionBy("key", "part"))))
@@ -197,7 +197,7 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
     with joins_within_partitions(distinct.sparkSession):
         further = staged(pairs, "further_pairs")
     close = close_pairs(further, distinct)
-    links = staged(similar_pairs(close, texts_of(close, marked, text_col), similarity, words), "further_links")
+    links = staged(similar_pairs(close, texts_of(close, distinct, marked, text_col), similarity, words), "further_links")
     of = lambda c: known.select(F.col("fp").alias(c), F.col("c").alias(f"c_{c}"))
     between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()
     second = connected_components(between).select(F.col("node").alias("c"), F.col("component").alias("final"))
@@ -207,12 +207,14 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
 def first_of_similar(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one for each component of near copies, with all their columns.
 
-    The row with the component's smallest id stays (a null id loses to any other); of several such rows, one.
+    The row with the component's smallest id stays (a null id loses to any other); of several such rows, one. Whole rows
+    are shuffled once, by their number, when they are sketched; what is looked up later are numbers.
     """
     if similarity < 0.8:
         raise ValueError("the segments and bit limits are chosen for similarities of 0.8 or more")
-    marked = staged(sketched(docs, words, id_col, text_col), "sketched")
-    groups = marked.groupBy("fp").agg(F.min("id").alias("first_id"), F.max("size").alias("size"), F.max("bits").alias("bits"))
-    distinct = staged(groups, "distinct_sets")
-    held = distinct.select("fp", "first_id").join(linked_components(distinct, marked, similarity, words, text_col), "fp")
-    return unpacked(first_rows(marked, held))
+    marked = bucketed(sketched(docs, words, id_col, text_col), "row", "sketched")
+    groups = marked.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("first_id"), "row")).alias("first"), F.max("size").alias("size"), F.max("bits").alias("bits"))
+    distinct = staged(groups.select("fp", "first", "first.row", "size", "bits"), "distinct_sets")
+    held = distinct.select("fp", "first").join(linked_components(distinct, marked, similarity, words, text_col), "fp")
+    stay = held.groupBy("component").agg(F.min(F.struct("first.none", "first.first_id", "fp", "first.row")).alias("stays")).select("stays.row")
+    return unpacked(marked.join(stay.hint("shuffle_hash"), "row", "left_semi"))

@@ -68,6 +68,17 @@ def numbered(rows: DataFrame, order: list[Column], rows_per_task: int = 500_000)
     return marked.join(F.broadcast(counts.select("_part", before.alias("_before"))), "_part").withColumn("row", F.col("_before") + F.col("row")).drop("_at", "_part", "_before")
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``staged``, dealt out by ``key``, a column without hot values: later joins by it take the rows as they lie.
+
+    Where the other side, made of few columns, carries the hint ``shuffle_hash``, the rows are not even sorted.
+    """
+    spark = df.sparkSession
+    n, path, table = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch(spark, name), f"{name}_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.format("parquet").option("path", path).bucketBy(n, key).saveAsTable(table)
+    return spark.table(table)
+
+
 def spread(df: DataFrame, rows: int) -> DataFrame:
     """``df``, a staged table of few bytes that much is made of, over tasks of about ``rows`` rows each."""
     return df.repartition(max(1, -(-df.count() // rows)))
