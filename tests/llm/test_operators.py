@@ -481,6 +481,48 @@ def test_menus_and_shared_lines_of_the_main_part(spark):
     assert got == {i: " ".join(f"w{i}y{k}" for k in range(40)) for i in range(10)}
 
 
+@pytest.mark.parametrize("n", [2, 4, 7, 8, 12])
+def test_an_articles_own_parts_stay_at_any_number_of_pages(spark, n):
+    words = lambda i, tag: " ".join(f"{tag}{i}w{k}" for k in range(9))
+    parts = lambda i: f"<h1>Head {i}</h1><p class='related-work'>{words(i, 'r')}</p><div class='side-effects'><p>{words(i, 's')}</p></div><blockquote>shared by all pages</blockquote><p>{words(i, 'p')}</p>"
+    menu = lambda i: f"<div id='menu'><p>{words(i, 'm')}</p></div>" if n > 2 else ""
+    out = "<div class='related'><ul><li><a href=x>other page</a></li></ul></div><div class='social share'>Share 12</div><div class='comment-list'><p>a reader wrote quite a long comment here</p></div>"
+    rows = [(i, "http://h.example/a", page(f"<nav><a href=x>go</a></nav><article>{parts(i)}{menu(i)}{out}</article>")) for i in range(n)]
+    got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got == {i: " ".join([f"Head {i}", words(i, "r"), words(i, "s"), "shared by all pages", words(i, "p"), *([words(i, "m")] if n > 2 else [])]) for i in range(n)}
+
+
+def test_nameless_pages(spark):
+    """With all sections' tags and names taken away, texts are the same; where a notice is longer than the article, a page alone
+    can't tell, but aligned with others it can."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    bare = lambda html: re.sub(r"<(/?)(?:nav|article|footer|aside|header)>", r"<\1div>", html.replace(' class="ad"', ""))
+    want = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
+    rows = spark.createDataFrame([(r.page_id, r.url, bare(r.html)) for r in pages.collect()], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_texts(rows).collect()}
+    assert got == want
+
+    notice = " ".join(f"terms{k}" for k in range(60))
+    article = lambda i: " ".join(f"a{i}w{k}" for k in range(20))
+    html = lambda i: page(f"<div><p>{notice}</p></div><div><a href=x>go</a></div><div><p>{article(i)}</p></div>")
+    rows = spark.createDataFrame([(i, "http://h.example/a", html(i)) for i in range(6)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.main_texts(rows).collect()} == {i: article(i) for i in range(6)}
+    assert html_text.page_text(html(0), None) != article(0)
+
+
+def test_wrappers_stay_small(monkeypatch):
+    monkeypatch.setattr(html_text, "MOST_ITEMS", 300)
+    whole = None
+    for i in range(2000):
+        one = html_text.item_of(html_text.parse(f"<main><h1>t {i}</h1><p>text {i}</p>{'<ul><li>x</ul>' if i % 3 == 0 else ''}<div class='odd{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100 % 10]}'>o</div></main>"))
+        whole = one if whole is None else html_text.merge(whole, one)
+        if whole.pages % 64 == 0:
+            whole.prune()
+            assert whole.size() <= 300
+    main = next(k for k in whole.kids if k.key == "main")
+    assert main.pages == 2000 and {"h1", "p", "ul"} <= {k.key for k in main.kids}
+
+
 def test_wrapper_rules():
     item = lambda h: html_text.item_of(html_text.parse(h))
     w = html_text.merge(item("<ul><li>a<li>b</ul><p>x"), item("<ul><li>a</ul><h2>t</h2><p>y<p>z"))
