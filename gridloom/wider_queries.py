@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import text
+from gridloom.functions.text import SHEET_MARKER
 from gridloom.operators import evaluate, extract, layout, schema_map, sheets, status
 from gridloom.plans import jobs
 from gridloom.queries import FLAG_SQL, LEDGER, SCORE_SQL, STATUS, _ledger, _shared, long_rows, query, source_docs, status_table, table, verdict_table, workbooks
-from gridloom.sources import readers, sinks
+from gridloom.sources import ranges, readers, sinks
 from gridloom.sources.bucketed import BucketedTable
 from gridloom.streaming import drain
 
@@ -35,6 +36,24 @@ def file_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(key.cast("int").alias("key"), (F.octet_length("line") - F.octet_length(key)).cast("long").alias("body_length"))
 
 
+@query("""
+    SELECT CAST(c_nationkey AS VARCHAR) AS guid, 'nation ' || CAST(c_nationkey AS VARCHAR) AS sheet_name, CAST(count(*) AS BIGINT) AS records, CAST(sum(c_custkey) AS BIGINT) AS keys, CAST(0 AS BIGINT) AS first_line, CAST(count(*) - 1 AS BIGINT) AS last_line
+    FROM customer GROUP BY c_nationkey
+""")
+def ranged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A workbook file for each nation, growing with the table, read by byte ranges and grouped into its sheet again."""
+    home = f"{_shared(spark)}/books"
+    c = table(spark, sf_dir, "customer")
+    rows = c.select("c_nationkey", F.col("c_custkey").alias("at"), F.concat_ws(",", "c_custkey", "c_name").alias("row"))
+    heads = c.select("c_nationkey").distinct().select("c_nationkey", F.lit(-1).cast("long").alias("at"), F.concat(F.lit("nation "), F.col("c_nationkey").cast("string"), F.lit(SHEET_MARKER)).alias("row"))
+    lines = rows.withColumn("at", F.col("at").cast("long")).unionByName(heads).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "at")
+    lines.select("c_nationkey", F.concat("row", F.lit("\n")).alias("value")).write.partitionBy("c_nationkey").text(home)
+    found = ranges.records_of_files(spark, f"{home}/*/*.txt")
+    guid = F.regexp_extract("guid", r"c_nationkey=(-?\d+)", 1)
+    key = F.substring_index("record", ",", 1).cast("long")
+    return found.groupBy(guid.alias("guid"), "sheet_name").agg(F.count(F.lit(1)).alias("records"), F.sum(key).alias("keys"), F.min("line").alias("first_line"), F.max("line").alias("last_line"))
+
+
 @query(STATUS + "SELECT guid, 'pending' AS status, 'v9' AS extraction_version, 'intake' AS source, body_length FROM status")
 def populated_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.populate_status(status_table(spark, sf_dir), "intake", "v9").select("guid", "status", "extraction_version", "source", "body_length")
