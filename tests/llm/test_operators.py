@@ -361,11 +361,21 @@ def test_top_k(spark, n):
             assert got[q] == sorted((bin((c ^ code) & (2**64 - 1)).count("1"), i) for i, c in rows if i != q)[:10]
 
 
-def test_wide_vectors_are_refused(spark):
+def test_codes_of_any_width(spark):
     frame = lambda *sizes: spark.createDataFrame([(n, [-1.0] * (n - 1) + [1.0]) for n in sizes], "vec_id int, embedding array<double>")
     assert {r.id: r.code & (2**64 - 1) for r in sign_codes(frame(3, 64)).collect()} == {3: 4, 64: 1 << 63}
-    with pytest.raises(Exception, match="more than 64"):
-        sign_codes(frame(3, 65)).collect()
+    assert {r.id: [w & (2**64 - 1) for w in r.code] for r in sign_codes(frame(3, 65, 130)).collect()} == {3: [4, 0, 0], 65: [0, 1, 0], 130: [0, 0, 2]}
+    random.seed(9)
+    base = [[random.choice([-1.0, 1.0]) for _ in range(150)] for _ in range(12)]
+    vectors = [(i, [-x if random.random() < 0.02 else x for x in random.choice(base)][: random.choice([150, 150, 100])]) for i in range(120)]
+    vectors += [(500, []), (501, None), (520, [None] * 70), (540, vectors[0][1])]
+    codes = sign_codes(spark.createDataFrame(vectors, "vec_id int, embedding array<double>").repartition(3))
+    got = defaultdict(list)
+    for r in top_k(codes, codes.filter("id % 20 = 0"), 5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.distance, r.id))
+    ones = {i: {k for k, x in enumerate(v) if x and x > 0} for i, v in vectors if v}
+    assert got == {q: sorted((len(ones[q] ^ ones[i]), i) for i in ones if i != q)[:5] for q in ones if q % 20 == 0}
+    assert top_k(codes.limit(0), codes.limit(0), 5).count() == 0
 
 
 # ---- URL filter
