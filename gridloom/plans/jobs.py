@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,15 +22,15 @@ from gridloom.sources.bucketed import exists, remove
 from gridloom.sources.readers import scan_population, spread
 
 
-def scored(docs: DataFrame, text: str = "body_text") -> DataFrame:
+def scored(docs: DataFrame, text: str = "body_text", flags: Callable[[Column], Column] = pii_flags) -> DataFrame:
     """``docs`` with pii_score, pii_signals and status. The nine tests run once, in a projection of their own."""
-    flagged = spread(docs).withColumn("_flags", pii_flags(F.coalesce(F.col(text), F.lit(""))))
+    flagged = spread(docs).withColumn("_flags", flags(F.coalesce(F.col(text), F.lit(""))))
     return flagged.withColumns({"pii_score": pii_score(F.col("_flags")), "pii_signals": pii_signals(F.col("_flags")), "status": population_status(pii_score(F.col("_flags")))}).drop("_flags")
 
 
-def select_population(source: DataFrame, status: DataFrame, category: str | None = None) -> tuple[DataFrame, DataFrame]:
+def select_population(source: DataFrame, status: DataFrame, category: str | None = None, flags: Callable[[Column], Column] = pii_flags) -> tuple[DataFrame, DataFrame]:
     """The status table with newly scored documents merged in, and its counts."""
-    found = scored(with_title(scan_population(source, category)))
+    found = scored(with_title(scan_population(source, category)), flags=flags)
     merged = merge_population(status, found)
     return merged, status_counts(merged)
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions import text
+from gridloom.functions import pii, text
 from gridloom.functions.text import SHEET_MARKER
 from gridloom.operators import evaluate, extract, layout, schema_map, sheets, status
 from gridloom.plans import jobs
@@ -431,8 +431,8 @@ def corpus_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(STATUS + f", d AS (SELECT CAST(doc_id AS VARCHAR) AS guid, CASE WHEN doc_id % 2 = 0 THEN 'Document: T' || lang || chr(10) || chr(10) || text ELSE text END AS t FROM documents WHERE n_chars > 0 AND source = 'src1'), f AS (SELECT guid, {FLAG_SQL} FROM d), n AS (SELECT guid, CASE WHEN {SCORE_SQL} > 0 THEN 'pending' ELSE 'excluded_no_pii' END AS status FROM f) SELECT guid, CASE WHEN n.guid IS NOT NULL AND s.status IN ('pending', 'needs_llm_review', 'excluded_no_pii') THEN n.status ELSE s.status END AS status FROM status s LEFT JOIN n USING (guid)")
 def population_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of one source scanned, scored and merged into the status table."""
-    return jobs.select_population(source_docs(spark, sf_dir), status_table(spark, sf_dir), "src1")[0].select("guid", "status")
+    """Documents of one source scanned, scored with ASCII's classes as in its SQL, and merged into the status table."""
+    return jobs.select_population(source_docs(spark, sf_dir), status_table(spark, sf_dir), "src1", pii.ascii_flags)[0].select("guid", "status")
 
 
 @query(LEDGER + "SELECT guid, sheet_index, sheet_name, status FROM ledger WHERE guid = '3'")
