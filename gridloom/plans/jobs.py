@@ -113,39 +113,64 @@ def corpus_run(source: DataFrame, verdicts: DataFrame, labels: DataFrame, target
     return todo, done, done.documents.select("guid", "outcome", "reason").unionByName(rejected)
 
 
-def run_in_bins(source: DataFrame, verdicts: DataFrame, labels: DataFrame, root: str, target: int = 1_000_000) -> DataFrame:
+def run_in_bins(source: DataFrame, verdicts: DataFrame, labels: DataFrame, root: str, target: int = 1_000_000, at_once: int = 0) -> DataFrame:
     """``corpus_run`` bin by bin below ``root``, a folder that the cluster shares; what ``bins`` says of it in the end.
 
     The bins of the backlog are written once, so a run that is started again goes on with those of the first. A bin's
     rows and outcomes go to its own folders and its entry in ``progress`` comes last: a bin that was cut off is done again
     from the start and replaces itself, a finished one is never touched. Choose ``target`` documents so that a bin keeps
-    the cluster busy for some minutes.
+    the cluster busy for some minutes. Of smaller bins as many run together as hold ``at_once`` documents, one at least:
+    a round has its jobs once and reads ``source`` once, whatever the number of its bins.
     """
     spark, root = source.sparkSession, root.rstrip("/")
     if not exists(spark, f"{root}/plan/_SUCCESS"):
         balanced_batches(backlog(source, verdicts, ["pending"]), "body_length", target).write.mode("overwrite").parquet(f"{root}/plan")
     plan = spark.read.parquet(f"{root}/plan")
     done = {r[0] for r in bins(spark, root).select("batch").collect()}
-    for n in sorted(r[0] for r in plan.select("batch").distinct().collect()):  # few: a bin is a job of minutes
-        if n not in done:
-            _run_bin(source, labels, plan.filter(F.col("batch") == n), root, n)
+    held, size = [], 0
+    for n, documents in sorted(tuple(r) for r in plan.groupBy("batch").count().collect()):  # a row for each bin
+        if n in done:
+            continue
+        if held and size + documents > at_once:
+            _run_bins(source, labels, plan, root, held)
+            held, size = [], 0
+        held, size = [*held, n], size + documents
+    if held:
+        _run_bins(source, labels, plan, root, held)
     return bins(spark, root)
 
 
-def _run_bin(source: DataFrame, labels: DataFrame, guids: DataFrame, root: str, n: int) -> None:
-    work = f"{root}/work/{n}-{uuid.uuid4().hex}"
+def _run_bins(source: DataFrame, labels: DataFrame, plan: DataFrame, root: str, numbers: list[int]) -> None:
+    spark, work = source.sparkSession, f"{root}/work/{numbers[0]}-{uuid.uuid4().hex}"
+    open_bins = F.broadcast(spark.createDataFrame([(n,) for n in numbers], "batch int"))
+    guids = plan.join(open_bins, "batch", "left_semi")
     passed, no_pii = gate_no_pii(fetch_bodies(source, guids), keep=f"{work}/scored")
     passed, skipped = gate_document_type(passed, labels)
     done = extract(passed, keep=f"{work}/profiles")
     rejected = no_pii.select("guid", "rejection_code").unionByName(skipped.select("guid", "rejection_code"))
     outcomes = done.documents.select("guid", "outcome", "reason").unionByName(rejected.select("guid", F.lit("error_rejected").alias("outcome"), F.col("rejection_code").alias("reason")))
-    done.rows.write.mode("overwrite").parquet(f"{root}/rows/batch={n}")
-    outcomes.write.mode("overwrite").parquet(f"{root}/outcomes/batch={n}")
-    spark = source.sparkSession
-    spark.read.parquet(f"{root}/outcomes/batch={n}").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("outcome") == "complete").alias("complete")).write.mode("overwrite").parquet(f"{root}/progress/batch={n}")
+    _replace(done.rows, guids, f"{root}/rows", numbers)
+    _replace(outcomes, guids, f"{root}/outcomes", numbers)
+    written = spark.read.parquet(f"{root}/outcomes").join(open_bins, "batch", "left_semi")
+    counts = written.groupBy("batch").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("outcome") == "complete").alias("complete"))
+    spark.createDataFrame([(n,) for n in numbers], "batch int").join(counts, "batch", "left").fillna(0).coalesce(1).write.mode("append").partitionBy("batch").parquet(f"{root}/progress")
     remove(spark, work)
 
 
+def _replace(df: DataFrame, guids: DataFrame, path: str, numbers: list[int]) -> None:
+    """Write ``df`` to the folders of its guids' bins, in one job, in place of what a run that was cut off left there."""
+    spark = df.sparkSession
+    if len(numbers) == 1:
+        df.write.mode("overwrite").parquet(f"{path}/batch={numbers[0]}")
+        return
+    for n in numbers:
+        remove(spark, f"{path}/batch={n}")
+    spark.createDataFrame([], df.schema).write.parquet(f"{path}/batch={numbers[0]}")  # no bin may have rows; this one has columns
+    parts = F.pmod(F.xxhash64("guid"), F.lit(max(1, 2 * spark.sparkContext.defaultParallelism // len(numbers))))
+    dealt = df.join(guids.select("guid", "batch").distinct(), "guid").select(*df.columns, "batch").repartition("batch", parts)
+    dealt.write.mode("append").partitionBy("batch").parquet(path)
+
+
 def bins(spark: SparkSession, root: str) -> DataFrame:
     """(batch, documents, complete) of the finished bins of ``run_in_bins``."""
     if not exists(spark, f"{root}/progress"):

@@ -44,6 +44,30 @@ def test_a_run_that_is_cut_off_goes_on_with_its_first_open_bin(spark, tmp_path,
     assert len(made) == 5  # nothing was left to do
 
 
+def test_small_bins_run_together_and_each_is_replaced_whole(spark, tmp_path, monkeypatch):
+    """A round for many bins, with the result of a round each; a bin without rows, and rows of a run that was cut off, are no trouble."""
+    docs = spark.createDataFrame([(str(i), "pending", f"ssn,name\n\n{i},Ann", 10 + i) for i in range(7)], "guid string, status string, body_text string, body_length int")
+    none, labels, rounds, shown = docs.select("guid").limit(0), docs.select("guid", F.lit("other").alias("document_type")), [], {}
+
+    def light(passed, keep):
+        rounds.append(1)
+        rows = passed.filter("guid > '2'").select(F.explode(F.array(F.lit(1), F.lit(2))).alias("row_number"), "guid")
+        return jobs.Extraction(rows, None, None, None, passed.select("guid", F.lit("complete").alias("outcome"), F.lit(None).cast("string").alias("reason")))
+
+    monkeypatch.setattr(jobs, "extract", light)
+    for at_once, expected in ((0, 7), (3, 3), (1000, 1)):
+        root = str(tmp_path / f"run{at_once}")
+        rounds.clear()
+        if at_once:
+            for n in (0, 2):
+                spark.createDataFrame([(9, "stale")], "row_number int, guid string").write.parquet(f"{root}/rows/batch={n}")
+        done = jobs.run_in_bins(docs, none, labels, root, target=1, at_once=at_once).collect()
+        assert len(rounds) == expected
+        outcomes, rows = (jobs.binned(spark, root, name) for name in ("outcomes", "rows"))
+        shown[at_once] = sorted(map(tuple, done)), sorted(map(str, outcomes.select("batch", "guid", "outcome", "reason").collect())), sorted(map(str, rows.select("batch", "guid", "row_number").collect()))
+    assert [len(x) for x in shown[0]] == [7, 7, 8] and shown[0] == shown[3] == shown[1000]
+
+
 @pytest.mark.parametrize(("offset", "n"), [(0, 5), (95, 20), (990, 50), (1000, 5), (400, None), (0, None)])
 def test_a_slice_is_that_of_the_whole_order(spark, offset, n):
     draw = random.Random(2)
