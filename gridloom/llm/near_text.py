@@ -4,7 +4,11 @@ Four of 64 bits is a similarity of about 0.96. For 0.8 a set of word shingles ge
 bits. Two sets of similarity s differ in a bit with probability arccos(2s / (1 + s)) / pi if they are of one size, which
 is 0.15 at 0.8, so a segment differs in at most one bit in 28 of 100 cases, and of 16 segments at least one does for all
 but one pair in 190 at 0.8, one in 1700 at 0.85 and one in 70,000 at 0.9. Each segment is indexed by its 16 one-wildcard
-variants; an equality join on them finds the pairs, whose bits and then whole texts are verified.
+variants; an equality join on them finds the pairs, whose bits and then whole texts are verified. The join's condition
+also bounds a pair's similarity by the parities of both sets, an odd sketch: of 256 classes of shingles, those of which a
+set has an odd number. Each shingle that only one set has changes one parity, so two sets differ in at least as many
+shingles as parities. No pair of the wanted similarity fails that bound; edits of one text, similar but not similar
+enough, do, unless they have many hundred shingles.
 
 Candidates by chance grow with the square of the number of different sets, by 256 / 2^15 of all pairs; beyond some
 hundred million sets wider segments, and more of them, are needed.
@@ -55,25 +59,31 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """256 bits, as four signed 64-bit integers: each is set where an odd number of the set's hashes fall into its class."""
+    counts = np.bincount((hashes % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both >= similarity * (len(a) + len(b) - both)
 
 
 def sketched(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row: a number, doc: struct of all columns, id, fp: hash of the shingle set, size: shingles in it, bits: none for an empty set)."""
+    """(row: a number, doc: struct of all columns, id, fp: hash of the shingle set, size: shingles in it, bits: none for an empty set, odd: its parities)."""
 
-    @F.pandas_udf(T.StructType([T.StructField("set", T.LongType()), T.StructField("size", T.LongType()), T.StructField("bits", T.ArrayType(T.LongType()))]))
+    @F.pandas_udf(T.StructType([T.StructField("set", T.LongType()), T.StructField("size", T.LongType()), T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("odd", T.ArrayType(T.LongType()))]))
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        out: list[tuple[int, int, np.ndarray]] = []
+        out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         for text in texts:
             s = shingle_set(text, words)
-            out.append((np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64), len(s), wide_fingerprint(s) if len(s) else np.zeros(0, np.int64)))
-        sets, sizes, bits = zip(*out) if out else ((), (), ())
-        return pd.DataFrame({"set": pd.Series(sets, dtype="int64"), "size": pd.Series(sizes, dtype="int64"), "bits": pd.Series(bits, dtype=object)})
+            out.append((np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64), len(s), wide_fingerprint(s) if len(s) else np.zeros(0, np.int64), parities(s)))
+        sets, sizes, bits, odd = zip(*out) if out else ((), (), (), ())
+        return pd.DataFrame({"set": pd.Series(sets, dtype="int64"), "size": pd.Series(sizes, dtype="int64"), "bits": pd.Series(bits, dtype=object), "odd": pd.Series(odd, dtype=object)})
 
     made = packed(docs).withColumn("s", sketch(F.col("doc")[text_col]))
-    return made.select(F.monotonically_increasing_id().alias("row"), "doc", F.col("doc")[id_col].alias("id"), F.col("s.set").alias("fp"), "s.size", "s.bits")
+    return made.select(F.monotonically_increasing_id().alias("row"), "doc", F.col("doc")[id_col].alias("id"), F.col("s.set").alias("fp"), "s.size", "s.bits", "s.odd")
 
 
 def segments(sets: DataFrame) -> DataFrame:
@@ -151,14 +161,15 @@ def lone_shingles(texts: DataFrame, words: int) -> DataFrame:
 def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float, words: int, text_col: str = "text") -> DataFrame:
     """(fp, component): components of the graph that links sets of ``similarity`` or more.
 
-    ``distinct`` (fp, row, size, bits) holds each set once, with one of its rows in ``marked``. Three rounds keep the number of texts that are compared linear
+    ``distinct`` (fp, row, size, bits, odd) holds each set once, with one of its rows in ``marked``. Three rounds keep the number of texts that are compared linear
     where many texts are edits of one. In the first, each set is compared with one other: of its predecessors, in bit
     order, among sets with a whole segment in common, that which it meets most often. The sets that are close to
     theirs are candidates for large groups; their shingles are counted. In the second, each of them is compared with
     the set of its buckets that has the smallest share of shingles of its own, which is the text that the others edit.
     The third joins all variants, but only pairs from different components so far; of these one side lies outside the
     bucket's largest component. Of two counted sets neither can share a shingle of its own, which bounds what they have
-    in common: a pair whose bound is below ``similarity`` has no link and is no candidate.
+    in common: a pair whose bound is below ``similarity`` has no link and is no candidate. The parities of any two sets
+    bound it too.
     """
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= MOST_FIRST
     of_size = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y)
@@ -179,19 +190,22 @@ def linked_components(distinct: DataFrame, marked: DataFrame, similarity: float,
     sizes = first.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     known = staged(
         distinct.join(first.withColumnRenamed("node", "fp").join(sizes, "component"), "fp", "left").join(lone, "fp", "left")
-        .select("fp", "size", "bits", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).cast("int").alias("members"), F.coalesce("lone", F.lit(-1)).alias("lone")),
+        .select("fp", "size", "bits", "odd", F.coalesce("component", "fp").alias("c"), F.coalesce("members", F.lit(1)).cast("int").alias("members"), F.coalesce("lone", F.lit(-1)).alias("lone")),
         "first_components",
     )
     component = F.struct("members", "c").alias("in")
     whole = lambda c: F.coalesce(c, F.lit(0))  # noqa: E731  no column is null, so neither side gets a filter that the other lacks
-    keyed = segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), "lone", F.col("bits")[0].alias("bit"))
-    keyed = variants(keyed.select("in", *[whole(F.col(c)).alias(c) for c in ("part", "fp", "size", "lone", "bit")]), known.count())
+    keyed = segments(spread(known, 8192)).select("part", "fp", component, F.col("size").cast("int").alias("size"), "lone", F.col("bits")[0].alias("bit"), *[F.col("odd")[n].alias(f"odd{n}") for n in range(WORDS)])
+    keyed = variants(keyed.select("in", *[whole(F.col(c)).alias(c) for c in keyed.columns if c != "in"]), known.count())
     # A pair is met from the side of the smaller component. Both sides have the same columns, so one shuffle serves both.
     probes = keyed.withColumn("largest", F.max("in").over(Window.partitionBy("key", "part"))).filter(F.col("in") < F.col("largest")).select([F.col(c).alias(f"{c}_a") for c in keyed.columns])
     same = (F.col("key_a") == F.col("key")) & (F.col("part_a") == F.col("part")) & first_met("whole_a", "whole", "_wild", "bit_a", "bit")
     wanted = same & (F.col("in_a") < F.col("in")) & near(F.col("bit_a"), F.col("bit")) & of_size(F.col("size_a"), F.col("size"))
     common = F.least(F.col("size_a") - F.col("lone_a"), F.col("size") - F.col("lone"))
     possible = (F.least("lone_a", "lone") < 0) | (common >= similarity * (F.col("size_a") + F.col("size") - common))
+    differ = sum((F.bit_count(F.col(f"odd{n}_a").bitwiseXOR(F.col(f"odd{n}"))) for n in range(WORDS)), F.lit(0))
+    both = F.col("size_a") + F.col("size")  # twice what they have in common at most, over twice their union, in the numbers of ``similar``
+    possible = possible & (both - differ >= similarity * (both + differ))
     # Merge hints: the optimizer takes exploded variants for as small as their source and would broadcast them.
     pairs = probes.hint("merge").join(keyed.hint("merge"), wanted & possible).select(F.least("fp_a", "fp").alias("a"), F.greatest("fp_a", "fp").alias("b")).distinct()
     with joins_within_partitions(distinct.sparkSession):
@@ -213,8 +227,8 @@ def first_of_similar(docs: DataFrame, similarity: float = 0.8, words: int = 5, i
     if similarity < 0.8:
         raise ValueError("the segments and bit limits are chosen for similarities of 0.8 or more")
     marked = bucketed(sketched(docs, words, id_col, text_col), "row", "sketched")
-    groups = marked.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("first_id"), "row")).alias("first"), F.max("size").alias("size"), F.max("bits").alias("bits"))
-    distinct = staged(groups.select("fp", "first", "first.row", "size", "bits"), "distinct_sets")
+    groups = marked.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("first_id"), "row")).alias("first"), F.max("size").alias("size"), F.max("bits").alias("bits"), F.max("odd").alias("odd"))
+    distinct = staged(groups.select("fp", "first", "first.row", "size", "bits", "odd"), "distinct_sets")
     held = distinct.select("fp", "first").join(linked_components(distinct, marked, similarity, words, text_col), "fp")
     stay = held.groupBy("component").agg(F.min(F.struct("first.none", "first.first_id", "fp", "first.row")).alias("stays")).select("stays.row")
     return unpacked(marked.join(stay.hint("shuffle_hash"), "row", "left_semi"))

@@ -228,6 +228,41 @@ def test_near_copies_at_every_similarity(spark, odd, none):
     assert pipe.near_dedup(spark, none, "").count() == 0 and pipe.near_dedup(spark, odd, "").columns == odd.columns
 
 
+def test_edits_of_one_text_are_few_candidates(spark, monkeypatch):
+    """Edits that are less than 0.8 similar to each other are no candidates, and no link is lost: components are brute force's."""
+    from gridloom.llm import near_text
+
+    random.seed(11)
+    first = [f"w{random.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        new = list(first)
+        for at in random.sample(range(5, 145, 5), 5 if i % 10 else 1):  # each changes five shingles, so no pair is close to 0.8
+            new[at] = f"v{random.randrange(10**6)}"
+        rows.append((i, " ".join(new)))
+    sets = [near_text.shingle_set(t) for _, t in rows]
+    odd = [near_text.parities(s) for s in sets]
+    root = list(range(len(rows)))
+    for b in range(len(rows)):
+        for a in range(b):
+            differ = len(np.setxor1d(sets[a], sets[b]))
+            assert sum(int(x).bit_count() for x in (odd[a] ^ odd[b]).view(np.uint64)) <= differ
+            if near_text.similar(sets[a], sets[b], 0.8):
+                old, new = root[b], root[a]
+                root = [new if x == old else x for x in root]
+    candidates = []
+
+    def staged(df, name, write=near_text.staged):
+        out = write(df, name)
+        candidates.extend([out.count()] if name == "further_pairs" else [])
+        return out
+
+    monkeypatch.setattr(near_text, "staged", staged)
+    kept = near_text.first_of_similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id for r in kept.collect()} == {root.index(x) for x in set(root)}
+    assert len(candidates) == 1 and candidates[0] < 2000  # of 79,800 pairs
+
+
 # ---- tokens
 
 
