@@ -28,7 +28,9 @@ import html as entities
 import json
 import re
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -47,9 +49,9 @@ DEEPEST = 512
 sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))  # some frames for each level of a page
 #: Different pages of a host from which its slots decide.
 SOME = 3
-#: Items of a host's wrapper from which rare ones are left out, and the share of its parent's pages that makes one rare. Parts
-#: of a page that have no item keep their text in the main part, so nothing of an article is lost, and a wrapper's size
-#: depends on the size of pages, not on their number.
+#: Items of a host's wrapper from which ``prune`` leaves rare ones out, and the share of its parent's pages that makes one rare.
+#: That changes roles: a part without an item has only its name, and its parent may seem never to change. ``wrappers`` prunes
+#: on demand only; whole wrappers grow with the number of different parts that a host's pages have.
 MOST_ITEMS, RARE = 20_000, 1 / 64
 #: Characters a page from which a part's slots overrule its doubtful name, and the share of its text that links may hold.
 PROSE, LINKED = 20, 0.1
@@ -407,6 +409,7 @@ class Wrapper:
         self.root = root
         self.side: set[int] = set()
         self.prose: set[int] = set()
+        self.kids: dict[int, tuple[list[Item], dict[str, list[int]]]] = {}
         place, certain, everywhere = self._heaviest(len(root.seen) >= SOME)
         found = [] if certain else self._marked(root)
         if found:
@@ -483,19 +486,27 @@ class Wrapper:
         out: list[str] = []
         return " ".join("".join(out).split()) if self._walk(page, self.root, False, out) or id(self.root) in self.main else None
 
+    def _items(self, item: Item) -> tuple[list[Item], dict[str, list[int]]]:
+        """The items in a part, and by key the places at which they are, ascending."""
+        if id(item) not in self.kids:
+            items, places = _flat(item.kids), {}
+            for k, x in enumerate(items):
+                places.setdefault(x.key, []).append(k)
+            self.kids[id(item)] = items, places
+        return self.kids[id(item)]
+
     def _walk(self, element: Element, item: Item | None, inside: bool, out: list[str]) -> bool:
         inside = inside or (item is not None and id(item) in self.main)
         met = inside
-        items = _flat(item.kids) if item is not None else []
+        items, places = self._items(item) if item is not None else ([], {})
         at = 0
         for kid in element.kids:
             key = "#" if isinstance(kid, str) else kid.key
             match = None
             if key != "#" or kid.strip():
-                where = next((k for k in range(at, len(items)) if items[k].key == key), None)
-                if where is None:
-                    where = next((k for k in range(min(at, len(items)) - 1, -1, -1) if items[k].key == key), None)
-                if where is not None:
+                if there := places.get(key):
+                    n = bisect_left(there, at)
+                    where = there[n] if n < len(there) else there[-1]
                     match = items[where]
                     at = where if match.repeated or where < at else where + 1
             if key == "#":
@@ -544,30 +555,39 @@ def _flat(items: list[Item]) -> list[Item]:
     return out
 
 
-def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", hosts_held: int = 500, fan_in: int = 32) -> DataFrame:
-    """(host, wrapper json), from all pages.
+def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", hosts_held: int = 500, fan_in: int = 32, pruned: bool = False) -> DataFrame:
+    """(host, wrapper json), from all pages; if ``pruned``, without rare items of very large wrappers.
 
     A task holds at most ``hosts_held`` wrappers and hands on those it has when there are more. Rounds then combine up
-    to about ``fan_in`` wrappers of a host in one call, so no host, however many its pages, meets in one task whole.
+    to about ``fan_in`` wrappers of a host in one call, so no host, however many its pages, meets in one task whole. Pages
+    too are combined in pairs of equal numbers, so a page is not aligned with all different parts that came before it.
     """
     rows = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html"))
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Item] = {}
+        held: dict[str, list[Item]] = {}
         part, sent = TaskContext.get().partitionId(), 0
         for batch in batches:
             for host, text in zip(batch["host"], batch["html"]):
                 html, name = text.as_py() or "", host.as_py()
                 page = item_of(parse(html))
                 page.seen = (hashlib.md5(html.encode("utf-8", "replace")).hexdigest()[:16],)
-                held[name] = merge(held[name], page) if name in held else page
-                if held[name].pages % 64 == 0:
-                    held[name].prune()
+                stack = held.setdefault(name, [])
+                stack.append(page)
+                while len(stack) > 1 and stack[-2].pages == stack[-1].pages:
+                    last = stack.pop()
+                    stack[-1] = merged(stack[-1], last)
                 if len(held) > hosts_held:
-                    yield _packed(held, part, sent)
+                    yield packed(held, part, sent)
                     held, sent = {}, sent + 1
         if held:
-            yield _packed(held, part, sent)
+            yield packed(held, part, sent)
+
+    def merged(a: Item, b: Item) -> Item:
+        return merge(a, b).prune() if pruned else merge(a, b)
+
+    def packed(held: dict[str, list[Item]], part: int, sent: int) -> pa.RecordBatch:
+        return _packed({name: reduce(lambda x, y: merged(y, x), reversed(stack)) for name, stack in held.items()}, part, sent)
 
     schema = "host string, wrapper string, part long, pages long"
     now = staged(rows.mapInArrow(infer, schema), "host_wrappers")
@@ -577,7 +597,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", hos
         whole = None
         for x in group["wrapper"]:
             item = Item.unpacked(json.loads(x))
-            whole = item if whole is None else merge(whole, item).prune()
+            whole = item if whole is None else merged(whole, item)
         return pd.DataFrame({"host": group["host"].iloc[:1], "wrapper": [json.dumps(whole.packed())], "part": group["part"].min(), "pages": group["pages"].sum()})
 
     while (most := now.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > 1:
